@@ -12,11 +12,10 @@ from pyspark.sql import functions as F
 
 from encore.catalog.base import docs, query, tracks
 from encore.config import FeatureConfig
-from encore.functions import word_list
 from encore.learning import metrics, models, prepare, splits
 from encore.operators.profile import coverage, existing
 from encore.operators.stats import high_label
-from encore.operators.terms import lexical_features, line_features
+from encore.operators.terms import lexical_features, line_features, with_parts
 from encore.session import stage_table
 
 T = ("tracks",)
@@ -188,9 +187,9 @@ _GUESS_SQL = """g AS (SELECT t.*, m AS guess FROM tracks t JOIN
     ON artist_name = a)"""
 
 
-def _guessed(spark, sf):
+def _guessed(spark, sf, rows=None):
     """Items with a simple prediction: the mean target of their artist."""
-    rows = tracks(spark, sf)
+    rows = tracks(spark, sf) if rows is None else rows
     means = rows.groupBy(F.col("artist_name").alias("_a")).agg(
         F.avg("log_repeat_listens").alias("guess")
     )
@@ -230,7 +229,10 @@ def regression_metrics(spark, sf):
     T,
 )
 def classification_metrics(spark, sf):
-    rows = high_label(_guessed(spark, sf)).withColumn("s", F.round(F.col("guess") / 10, 9))
+    scored = _guessed(spark, sf, high_label(tracks(spark, sf))).select(
+        "is_high_replay", F.round(F.col("guess") / 10, 9).alias("s")
+    )
+    rows = stage_table(scored, "scored")
     out = metrics.classification_metrics(rows, "is_high_replay", "s", 0.65)
     return out.select("n", *[F.round(c, 6).alias(c) for c in ("accuracy", "f1", "roc_auc")])
 
@@ -323,11 +325,10 @@ def imbalance(spark, sf):
 
 @query("feature_set_ablation")
 def feature_set_ablation(spark, sf):
-    words = word_list(F.col("text"))
-    cells = {**lexical_features(words), **line_features(F.col("text"))}
-    rows = docs(spark, sf).select(
-        "mbid", "log_repeat_listens", "quality", "toxic", *[c.alias(n) for n, c in cells.items()]
-    )
+    cells = {**lexical_features(F.col("words")), **line_features(F.col("lines"))}
+    features = with_parts(docs(spark, sf)).select("mbid", *[c.alias(n) for n, c in cells.items()])
+    target = docs(spark, sf).select("mbid", "log_repeat_listens", "quality", "toxic")
+    rows = features.join(target, "mbid")
     staged = stage_table(splits.with_holdout(rows, "mbid"), "text-frame")
     lyric = ["type_token_ratio", "avg_line_length", "repetitiveness"]
     meta = ["quality", "toxic"]

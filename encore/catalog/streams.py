@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from encore.catalog.base import SCHEMAS, link_corpus, query, table, tracks
+from encore.catalog.base import SCHEMAS, link_corpus, query, tracks
 from encore.session import scratch_path
 from encore.streaming.ingest import ingest_new, link_incrementally
 
@@ -17,8 +15,8 @@ from encore.streaming.ingest import ingest_new, link_incrementally
 def incremental_ingest(spark, sf):
     work = scratch_path(spark, "ingest")
     out = ingest_new(
-        spark, f"{sf}/events.parquet", SCHEMAS["events"], f"{work}/out", f"{work}/state",
-        key="user_id", seq="event_id",
+        spark, sf, SCHEMAS["events"], f"{work}/out", f"{work}/state",
+        key="user_id", seq="event_id", name_pattern="events.parquet",
     )
     return out.select("user_id", "event_id", "event_type", "value")
 

@@ -54,8 +54,8 @@ def lexical_features(spark, sf):
             / GREATEST(len(l), 1), 4) AS repetitiveness FROM l""",
 )
 def line_features(spark, sf):
-    cells = terms.line_features(F.col("text"))
-    return texts(spark, sf).select("mbid", *[c.alias(n) for n, c in cells.items()])
+    cells = terms.line_features(F.col("lines"))
+    return terms.with_parts(texts(spark, sf)).select("mbid", *[c.alias(n) for n, c in cells.items()])
 
 
 @query(
@@ -126,12 +126,12 @@ def top_bigrams(spark, sf):
             GREATEST(len(list_filter(regexp_split_to_array(text, '[.!?]+'),
                 lambda x: regexp_matches(x, '[0-9A-Za-z_]'))), 1) AS s,
             len(regexp_extract_all(lower(text), '[aeiouy]+')) AS y FROM documents)
-    SELECT mbid, ROUND(206.835 - 1.015 * (w / s) - 84.6 * (y / w), 2) AS flesch_reading_ease,
-        ROUND(0.39 * (w / s) + 11.8 * (y / w) - 15.59, 2) AS flesch_kincaid_grade FROM x""",
+    SELECT mbid, ROUND(206.835 - 1.015 * (w / s) - 84.6 * (y / w), 6) AS flesch_reading_ease,
+        ROUND(0.39 * (w / s) + 11.8 * (y / w) - 15.59, 6) AS flesch_kincaid_grade FROM x""",
 )
 def readability(spark, sf):
-    cells = terms.readability(F.col("text"))
-    return texts(spark, sf).select("mbid", *[c.alias(n) for n, c in cells.items()])
+    cells = terms.readability(F.col("shape"))
+    return terms.with_parts(texts(spark, sf)).select("mbid", *[F.round(c, 6).alias(n) for n, c in cells.items()])
 
 
 @query(

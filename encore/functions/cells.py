@@ -57,14 +57,29 @@ def bin_label(
     return chain.otherwise(F.lit(labels[-1]))
 
 
+def _one_decimal(value: Column) -> Column:
+    """A non-negative double with one decimal, rounding its exact binary value half to even.
+
+    The built-in formatter rounds the shortest decimal form instead and differs on near-ties.
+    """
+    whole = F.floor(value).cast("bigint")
+    rest = value - whole
+    tenth = F.floor(rest * 10).cast("bigint")
+    middle = (tenth + 0.5) / 10
+    up = (rest > middle) | ((rest == middle) & (tenth % 2 == 1))
+    total = whole * 10 + tenth + up.cast("bigint")
+    return F.concat((F.floor(total / 10)).cast("string"), F.lit("."), (total % 10).cast("string"))
+
+
 def compact_number(value: Column) -> Column:
     """1234 -> 1.2K, 2500000 -> 2.5M, smaller values with thousands separators."""
-    size = F.abs(value)
-    return (
-        F.when(size >= 1_000_000, F.format_string("%.1fM", value / F.lit(1_000_000.0)))
-        .when(size >= 1_000, F.format_string("%.1fK", value / F.lit(1_000.0)))
-        .otherwise(F.format_string("%,.0f", value.cast("double")))
+    size = F.abs(value).cast("double")
+    text = (
+        F.when(size >= 1_000_000, F.concat(_one_decimal(size / 1_000_000.0), F.lit("M")))
+        .when(size >= 1_000, F.concat(_one_decimal(size / 1_000.0), F.lit("K")))
+        .otherwise(F.rint(size).cast("bigint").cast("string"))
     )
+    return F.when(value < 0, F.concat(F.lit("-"), text)).otherwise(text)
 
 
 def minutes_seconds(seconds: Column) -> Column:

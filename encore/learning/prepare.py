@@ -150,6 +150,7 @@ class VarianceSharePCA(Estimator, _ShareParams, DefaultParamsReadable, DefaultPa
     @keyword_only
     def __init__(self, *, inputCol="features", outputCol="components", share=0.95):
         super().__init__()
+        self._setDefault(inputCol="features", outputCol="components", share=0.95)
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame):

@@ -72,27 +72,35 @@ def title_similarity(a: Column, b: Column) -> Column:
     return _similarity(sorted_words(a), sorted_words(b))
 
 
-def rare_pairs(title: Column, cut: int = FUZZY_CUT) -> Column:
-    """The character pairs of which any two titles reaching the cut share at least one.
+def with_rare_pairs(df: DataFrame, title: str, out: str, cut: int = FUZZY_CUT) -> DataFrame:
+    """Add the character pairs of which any two titles reaching the cut share at least one.
 
     With slack c = 1 - cut/100, a title of length L that still reaches the cut loses at most
     q * L * 2c / (1 + c) of its q-grams; keeping one more than that, by rarity, is lossless.
     Repeats are numbered so the pairs form a true bag.
     """
     c = (100 - cut) / 100.0
+    if (_GRAM - 1) * c > (1 - c) / 2:
+        raise ValueError("the bound on lost pairs needs a cut of at least 67")
     padded = F.concat(F.lit("~"), F.translate(title, _BY_FREQUENCY, _STAND_INS), F.lit("~"))
     grams = F.transform(
-        F.sequence(F.lit(1), F.length(padded) - (_GRAM - 1)),
-        lambda i: F.substr(padded, i, F.lit(_GRAM)),
+        F.sequence(F.lit(1), F.length("_padded") - (_GRAM - 1)),
+        lambda i: F.substr(F.col("_padded"), i, F.lit(_GRAM)),
     )
+    g = F.col("_grams")
     numbered = F.transform(
-        grams,
-        lambda g, i: F.concat(
-            g, F.size(F.filter(F.slice(grams, F.lit(1), i + 1), lambda h: h == g)).cast("string")
+        g,
+        lambda x, i: F.concat(
+            x, F.size(F.filter(F.slice(g, F.lit(1), i + 1), lambda h: h == x)).cast("string")
         ),
     )
     lost = F.floor(F.length(title) * F.lit(_GRAM * 2 * c / (1 + c)) + F.lit(1e-9)).cast("int")
-    return F.slice(F.sort_array(numbered, asc=False), F.lit(1), lost + 1)
+    return (
+        df.withColumn("_padded", padded)
+        .withColumn("_grams", grams)
+        .withColumn(out, F.slice(F.sort_array(numbered, asc=False), F.lit(1), lost + 1))
+        .drop("_padded", "_grams")
+    )
 
 
 def target_keys(
@@ -169,8 +177,8 @@ def link_fuzzy(pairs: DataFrame, targets: DataFrame, cut: int = FUZZY_CUT) -> Da
             sorted_words(F.col("t")).alias("u"),
         )
     )
-    left = probes.withColumn("ug", rare_pairs(F.col("u"), cut)).withColumn("g", F.explode("ug"))
-    right = indexed.withColumn("sg", rare_pairs(F.col("s"), cut)).withColumn("g", F.explode("sg"))
+    left = with_rare_pairs(probes, "u", "ug", cut).withColumn("g", F.explode("ug"))
+    right = with_rare_pairs(indexed, "s", "sg", cut).withColumn("g", F.explode("sg"))
     met = left.join(right, ["block", "g"])
     # A pair that shares several grams is taken only at the first of them.
     first = F.array_intersect("ug", "sg")[0] == F.col("g")

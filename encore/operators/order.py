@@ -22,23 +22,25 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from encore.config import ORDER_RANGES, QUARTILE_LABELS
+from encore.session import stage_table
 
 _BEFORE = (W.unboundedPreceding, -1)
+_PROBE = "_range_probe"
 
 
 def with_value_range(
     df: DataFrame, value: str, out: str, ranges: int = ORDER_RANGES
 ) -> DataFrame:
     """Add ``out``: the ordinal of the equal-depth range holding ``value`` (monotone in it)."""
-    probe = df.select(F.col(value).cast("double").alias("_x"))
+    probe = df.select(F.col(value).cast("double").alias(_PROBE))
     shares = [i / ranges for i in range(1, ranges)]
-    bounds = sorted(set(probe.approxQuantile("_x", shares, 1.0 / (2 * ranges))))
+    bounds = sorted(set(probe.approxQuantile(_PROBE, shares, 1.0 / (2 * ranges))))
     inner = [b for b in bounds if b == b and abs(b) != float("inf")]
     if not inner:
         return df.withColumn(out, F.lit(0))
     splits = [float("-inf"), *inner, float("inf")]
-    cutter = Bucketizer(splits=splits, inputCol="_x", outputCol=out, handleInvalid="keep")
-    cut = cutter.transform(df.withColumn("_x", F.col(value).cast("double"))).drop("_x")
+    cutter = Bucketizer(splits=splits, inputCol=_PROBE, outputCol=out, handleInvalid="keep")
+    cut = cutter.transform(df.withColumn(_PROBE, F.col(value).cast("double"))).drop(_PROBE)
     return cut.withColumn(out, F.col(out).cast("int"))
 
 
@@ -57,8 +59,9 @@ def group_quantiles(
 ) -> DataFrame:
     """Exact quantiles per group: columns ``by``, ``n`` (non-null values) and array ``out``.
 
-    ``linear`` interpolates between neighbours, ``nearest`` takes the closest rank, ``approx``
-    uses Spark's sketch in one pass. With no ``by`` the result is one row (none when empty).
+    ``linear`` interpolates between neighbours, ``nearest`` takes the closest rank, ``closing``
+    the last of the first floor(share * n) values (null when that is none), and ``approx`` uses
+    Spark's sketch in one pass. With no ``by`` the result is one row (none when empty).
     """
     by = list(by)
     rows = df.select(*by, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
@@ -84,6 +87,8 @@ def group_quantiles(
         position = (F.col("n") - 1) * F.lit(float(p))
         if method == "nearest":
             return [F.round(position).cast("bigint")]
+        if method == "closing":
+            return [F.floor(F.col("n") * F.lit(float(p))).cast("bigint") - 1]
         return [F.floor(position).cast("bigint"), F.ceil(position).cast("bigint")]
 
     every_rank = [r for p in shares for r in ranks(p)]
@@ -117,7 +122,7 @@ def group_quantiles(
     )
 
     def answer(i: int, p: float) -> Column:
-        if method == "nearest":
+        if method != "linear":
             return F.col(f"_p{i}_0")
         position = (F.col("n") - 1) * F.lit(float(p))
         low, high = F.col(f"_p{i}_0"), F.col(f"_p{i}_1")
@@ -196,8 +201,8 @@ def with_codes(
 ) -> DataFrame:
     """Add a 0-based code per column: the value's place among its sorted distinct values.
 
-    All level lists come from one pass; only distinct levels are ever sorted together, and
-    Spark picks the join from their measured size.
+    All level lists come from one pass and are staged, so Spark picks each join from their
+    measured size; only distinct levels are ever sorted together.
     """
     if filler is not None:
         df = df.withColumns(
@@ -210,6 +215,7 @@ def with_codes(
         .distinct()
         .withColumn("_code", F.row_number().over(W.partitionBy("_column").orderBy("_level")) - 1)
     )
+    levels = stage_table(levels, "levels")
     for c in columns:
         codes = levels.where(F.col("_column") == c).select(
             F.col("_level").alias(f"_{c}"), F.col("_code").cast("int").alias(f"{c}{suffix}")

@@ -62,21 +62,28 @@ def histogram(
     if clip_share is not None:
         top = scalar_quantile(df.select(F.col(value).cast("double").alias("_x")), "_x", clip_share)
         rows = rows.select(F.greatest(F.lit(0.0), F.least(F.col("_x"), top)).alias("_x"))
-    span = rows.agg(F.min("_x").alias("lo"), F.max("_x").alias("hi")).select(F.struct("lo", "hi"))
-    edge = span.scalar()
-    flat = edge["lo"] == edge["hi"]
-    low = F.when(flat, edge["lo"] - 0.5).otherwise(edge["lo"])
-    high = F.when(flat, edge["hi"] + 0.5).otherwise(edge["hi"])
-    slot = F.least(F.floor((F.col("_x") - low) * F.lit(bins) / (high - low)), F.lit(bins - 1))
-    counts = rows.groupBy(slot.cast("int").alias("bin")).agg(F.count("*").alias("_n"))
-    step = (high - low) / F.lit(bins)
+    span = rows.agg(F.min("_x").alias("lo"), F.max("_x").alias("hi"))
+    flat = F.col("lo") == F.col("hi")
+    edge = span.select(
+        F.struct(
+            F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
+            F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
+        )
+    ).scalar()
+    low, width = F.col("_e.lo"), F.col("_e.hi") - F.col("_e.lo")
+    slot = F.least(F.floor((F.col("_x") - low) * F.lit(bins) / width), F.lit(bins - 1))
+    counts = (
+        rows.withColumn("_e", edge)
+        .groupBy(slot.cast("int").alias("bin"))
+        .agg(F.count("*").alias("_n"))
+    )
     return (
         df.sparkSession.range(bins)
-        .select(F.col("id").cast("int").alias("bin"))
+        .select(F.col("id").cast("int").alias("bin"), edge.alias("_e"))
         .join(counts, "bin", "left")
         .select(
             "bin",
-            (low + F.col("bin") * step).alias("bin_start"),
+            (low + F.col("bin") * (width / F.lit(bins))).alias("bin_start"),
             F.coalesce("_n", F.lit(0)).alias("n"),
         )
         .orderBy("bin")

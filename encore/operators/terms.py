@@ -52,8 +52,8 @@ def lexical_features(words: Column) -> dict[str, Column]:
     }
 
 
-def line_features(text: Column) -> dict[str, Column]:
-    lines = non_blank_lines(text)
+def line_features(lines: Column) -> dict[str, Column]:
+    """From a column of non-blank lines."""
     count = F.size(lines)
     keys = F.transform(lines, lambda x: F.lower(strip_whitespace(x)))
     repeats = count - F.size(F.array_distinct(keys))
@@ -80,21 +80,40 @@ def word_length_features(words: Column) -> dict[str, Column]:
     }
 
 
-def readability(text: Column) -> dict[str, Column]:
-    """Reading ease and school grade from words, sentences and vowel groups; null without words."""
-    words = F.nullif(F.size(raw_words(text)), F.lit(0))
-    sentences = F.greatest(
-        F.size(F.filter(F.split(text, r"[.!?]+"), lambda s: s.rlike(r"\w"))), F.lit(1)
+def text_shape(text: Column) -> Column:
+    """Words, sentences and vowel groups of a text, as a struct."""
+    return F.struct(
+        F.size(raw_words(text)).alias("words"),
+        F.size(F.filter(F.split(text, r"[.!?]+"), lambda s: s.rlike(r"\w"))).alias("sentences"),
+        F.regexp_count(F.lower(text), F.lit("[aeiouy]+")).alias("syllables"),
     )
-    syllables = F.regexp_count(F.lower(text), F.lit("[aeiouy]+"))
-    per_sentence = words / sentences
-    per_word = syllables / words
+
+
+def readability(shape: Column) -> dict[str, Column]:
+    """Reading ease and school grade from a ``text_shape`` column; null without words."""
+    words = F.nullif(shape["words"], F.lit(0))
+    per_sentence = words / F.greatest(shape["sentences"], F.lit(1))
+    per_word = shape["syllables"] / words
     return {
-        "flesch_reading_ease": F.round(206.835 - 1.015 * per_sentence - 84.6 * per_word, 2),
-        "flesch_kincaid_grade": F.round(0.39 * per_sentence + 11.8 * per_word - 15.59, 2),
+        "flesch_reading_ease": 206.835 - 1.015 * per_sentence - 84.6 * per_word,
+        "flesch_kincaid_grade": 0.39 * per_sentence + 11.8 * per_word - 15.59,
     }
 
 
+def with_parts(
+    texts: DataFrame, key: str = "mbid", text: str = "text", stop_words=CORPUS_STOP_WORDS
+) -> DataFrame:
+    """The text split once: ``words``, non-blank ``lines`` and its ``shape``. Features read these
+    columns, so no split is repeated."""
+    return texts.select(
+        key,
+        text,
+        word_list(F.col(text), stop_words).alias("words"),
+        non_blank_lines(F.col(text)).alias("lines"),
+        text_shape(F.col(text)).alias("shape"),
+    )
+
+
 def sentiment(
     texts: DataFrame, lexicon: DataFrame, key: str = "mbid", text: str = "text"
 ) -> DataFrame:
@@ -198,19 +217,19 @@ def text_features(
 ) -> DataFrame:
     """The full feature row per text."""
     words = F.col("words")
-    tokenised = texts.select(key, text, word_list(F.col(text)).alias("words"))
-    within = tokenised.select(
+    within = with_parts(texts, key, text).select(
         key,
         *[
             c.alias(name)
             for name, c in {
                 **lexical_features(words),
-                **line_features(F.col(text)),
+                **line_features(F.col("lines")),
                 **word_length_features(words),
-                **readability(F.col(text)),
+                **readability(F.col("shape")),
             }.items()
         ],
     )
+    tokenised = tokens(texts, key, text)
     pairs = top_list(word_counts(tokenised, key, pairs=True), 5, "top_bigrams", key)
     rare = rarity(word_counts(tokenised, key), freq, key)
     none = F.array().cast("array<string>")
@@ -258,9 +277,11 @@ def contrast(
         .where(F.col("side").isNotNull())
         .select(key, "side")
     )
-    words = word_list(F.col(text))
-    terms = texts.join(sided, key).select(
-        "side", F.explode(adjacent_pairs(words) if pairs else words).alias("word")
+    words = F.col("words")
+    terms = (
+        tokens(texts, key, text)
+        .join(sided, key)
+        .select("side", F.explode(adjacent_pairs(words) if pairs else words).alias("word"))
     )
     counts = terms.groupBy("word").agg(
         F.count_if(F.col("side") == "high").alias("high_count"),
@@ -440,16 +461,18 @@ def item_profile(
 ) -> DataFrame:
     """Features and most used words of a single text."""
     one = texts.where(F.col(key) == F.lit(item_key))
-    words = word_list(F.col(text), PROFILE_STOP_WORDS)
-    tokenised = one.select(key, text, words.alias("words"))
+    tokenised = with_parts(one, key, text, PROFILE_STOP_WORDS)
     lists = (
         top_words(word_counts(tokenised, key), n, key)
         .groupBy(key)
         .agg(F.sort_array(F.collect_list(F.struct("rank", "word", "n"))).alias("_l"))
         .select(key, F.col("_l.word").alias("top_words"), F.col("_l.n").alias("top_counts"))
     )
-    cells = {**lexical_features(F.col("words")), **line_features(F.col(text)),
-             **readability(F.col(text))}
+    cells = {
+        **lexical_features(F.col("words")),
+        **line_features(F.col("lines")),
+        **readability(F.col("shape")),
+    }
     return (
         tokenised.select(key, *[c.alias(k) for k, c in cells.items()])
         .join(sentiment(one, lexicon, key, text), key, "left")

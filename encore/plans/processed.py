@@ -25,7 +25,7 @@ def build_processed(
     cfg: FeatureConfig = DEFAULT_FEATURES,
     stage: bool = True,
 ) -> DataFrame:
-    """Collapse, join, derive, clip, encode, label.
+    """Collapse, join, derive, label, clip, encode.
 
     Collapsing leaves the rows hashed by id, so both joins reuse that exchange. Interactions use
     values before clipping. The joined rows are staged once in the shared folder (``stage``)
@@ -35,6 +35,7 @@ def build_processed(
     features = with_interactions(with_dates(with_target(joined), cfg))
     if stage:
         features = stage_table(features, "joined-records")
-    clipped = winsorize(features, [*AUDIO_SIGNALS, "duration_sec"])
-    coded = with_codes(clipped, cfg.all_categorical, filler=UNKNOWN)
-    return canonical(high_label(coded), cfg)
+    # Each statistic reads only its own columns of the staged rows.
+    labelled = high_label(features)
+    clipped = winsorize(labelled, [*AUDIO_SIGNALS, "duration_sec"])
+    return canonical(with_codes(clipped, cfg.all_categorical, filler=UNKNOWN), cfg)

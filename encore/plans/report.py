@@ -24,16 +24,20 @@ def dataset_context(df: DataFrame, flag: str = "has_audio_features") -> DataFram
     one = df.agg(
         F.count("*").alias("rows"), F.coalesce(F.sum(F.col(flag).cast("bigint")), F.lit(0)).alias("a")
     )
+    share = F.lit(100.0) * F.col("a") / F.greatest("rows", F.lit(1))
     entries = F.array(
-        F.struct(F.lit(0).alias("ord"), F.lit("rows").alias("key"), F.col("rows").cast("string").alias("value")),
-        F.struct(F.lit(1), F.lit("columns"), F.lit(str(len(df.columns)))),
-        F.struct(F.lit(2), F.lit("target"), F.lit(f"{TARGET} from {RAW_TARGET}")),
-        F.struct(F.lit(3), F.lit("rows_with_audio"), F.col("a").cast("string")),
-        F.struct(
-            F.lit(4),
-            F.lit("audio_pct"),
-            F.format_string("%.1f", F.lit(100.0) * F.col("a") / F.greatest("rows", F.lit(1))),
-        ),
+        *[
+            F.struct(F.lit(i).alias("ord"), F.lit(k).alias("key"), v.cast("string").alias("value"))
+            for i, (k, v) in enumerate(
+                [
+                    ("rows", F.col("rows")),
+                    ("columns", F.lit(len(df.columns))),
+                    ("target", F.lit(f"{TARGET} from {RAW_TARGET}")),
+                    ("rows_with_audio", F.col("a")),
+                    ("audio_pct", F.format_string("%.1f", share)),
+                ]
+            )
+        ]
     )
     return one.select(F.lit("dataset").alias("section"), F.inline(entries))
 

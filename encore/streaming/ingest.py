@@ -60,10 +60,11 @@ def ingest_new(
     seq: str = "ingest_seq",
     fmt: str = "parquet",
     files_per_batch: int | None = None,
+    name_pattern: str = "*",
 ) -> DataFrame:
     """Append landed rows whose key was not taken before; the earliest row of a key in its batch
     wins. Earlier keys live in the output table, not in unbounded stream state."""
-    reader = spark.readStream.schema(schema).format(fmt)
+    reader = spark.readStream.schema(schema).format(fmt).option("pathGlobFilter", name_pattern)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
