@@ -9,6 +9,7 @@ from encore.catalog.cells import PUNCT_SQL, WORDS_SQL, words_sql
 from encore.config import PROFILE_STOP_WORDS
 from encore.functions import word_list
 from encore.operators import terms
+from encore.session import stage_table
 
 _W = f"WITH w AS (SELECT doc_id AS mbid, text, {WORDS_SQL} AS w FROM documents)"
 _COUNTS = f"""{_W}, e AS (SELECT mbid, unnest(w) AS word, unnest(range(len(w))) AS pos FROM w),
@@ -355,6 +356,7 @@ def topic_contrast(spark, sf):
     weights = rows.withColumn(
         "dominant_topic", F.array_position(each, F.array_max(each)).cast("int") - 1
     )
+    weights = stage_table(weights, "weights")
     out = terms.topic_contrast(weights, doc_targets(spark, sf), 3)
     return out.select(
         "topic", "n_texts", F.round("mean_target", 6).alias("mean_target"),

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from encore.config import FUZZY_CUT, TARGET
 from encore.functions import clean_text, flip_the, match_key, sorted_words
 from encore.operators.order import keep_first
+from encore.session import stage_table
 
 # Ship this module's helpers with the task instead of expecting the package on every executor.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -215,13 +216,14 @@ def link_texts(
     ``cut=None`` links exactly only.
     """
     targets = target_keys(items, key, item_artist, item_title, target)
-    keys = corpus_keys(corpus, seq, artist, title, text).groupBy("a", "t").agg(
+    distinct = corpus_keys(corpus, seq, artist, title, text).groupBy("a", "t").agg(
         F.min("seq").alias("seq")
     )
+    keys = stage_table(distinct, "corpus-keys")
     index = exact_index(targets)
     hits = keys.join(index, ["a", "t"]).select("seq", "id")
     if cut is not None:
-        missed = keys.join(index, ["a", "t"], "left_anti")
+        missed = stage_table(keys.join(index, ["a", "t"], "left_anti"), "missed-keys")
         near = link_fuzzy(missed, targets, cut)
         hits = hits.unionByName(missed.join(near, ["a", "t"]).select("seq", "id"))
     winners = hits.groupBy("id").agg(F.min("seq").alias("_seq"))

@@ -157,6 +157,8 @@ def value_ranks(
 ) -> DataFrame:
     """One row per distinct non-null value with ``n`` (rows or summed weight), ``below`` (how
     many rank lower), ``avg_rank`` (mean 1-based rank of its ties) and the ``extra`` aggregates.
+
+    The distinct values are staged, so ``df`` itself is computed once.
     """
     size = F.sum(weight) if weight else F.count("*")
     distinct = (
@@ -164,7 +166,7 @@ def value_ranks(
         .groupBy(value)
         .agg(size.cast("bigint").alias("n"), *[agg.alias(name) for name, agg in extra.items()])
     )
-    distinct = with_value_range(distinct, value, "_r", ranges)
+    distinct = with_value_range(stage_table(distinct, "values"), value, "_r", ranges)
     per_range = distinct.groupBy("_r").agg(F.sum("n").alias("_c"))
     ahead = W.partitionBy(F.lit(0)).orderBy("_r").rowsBetween(*_BEFORE)
     offsets = per_range.select("_r", F.coalesce(F.sum("_c").over(ahead), F.lit(0)).alias("_ahead"))

@@ -19,6 +19,7 @@ from encore.operators.order import (
     with_quartile,
 )
 from encore.operators.profile import existing
+from encore.session import stage_table
 
 
 def winsorize(
@@ -169,6 +170,7 @@ def kruskal_wallis(
         F.broadcast(sizes.withColumnRenamed(group, "_g")),
         F.col(group).eqNullSafe(F.col("_g")),
     ).select(group, value, "_w", "_size")
+    pairs = stage_table(pairs, "group-values")
     ranks = value_ranks(pairs, value, weight="_w")
     tie = ranks.agg(
         F.sum(F.col("n").cast("double") * F.col("n") * F.col("n") - F.col("n")).alias("x")
@@ -208,10 +210,11 @@ def spearman(
 
     Ranks join to the distinct (x, y) pairs, so repeated values travel once.
     """
-    pairs = (
+    pairs = stage_table(
         df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
         .groupBy(F.col(x).alias("_x"), F.col(y).alias("_y"))
-        .agg(F.count("*").alias("_w"))
+        .agg(F.count("*").alias("_w")),
+        "value-pairs",
     )
     rx = value_ranks(pairs, "_x", weight="_w").select("_x", F.col("avg_rank").alias("_rx"))
     ry = value_ranks(pairs, "_y", weight="_w").select("_y", F.col("avg_rank").alias("_ry"))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from encore.config import CORPUS_STOP_WORDS, PROFILE_STOP_WORDS, RARE_WORD_SHARE, TARGET
 from encore.functions import adjacent_pairs, non_blank_lines, strip_whitespace, word_list
 from encore.operators.order import group_quantiles, top_per_group
+from encore.session import stage_table
 
 _RAW_SPLIT = r"(?U)[\s\x1c-\x1f]+"
 
@@ -217,7 +218,8 @@ def text_features(
 ) -> DataFrame:
     """The full feature row per text."""
     words = F.col("words")
-    within = with_parts(texts, key, text).select(
+    parts = stage_table(with_parts(texts, key, text).drop(text), "text-parts")
+    within = parts.select(
         key,
         *[
             c.alias(name)
@@ -229,7 +231,7 @@ def text_features(
             }.items()
         ],
     )
-    tokenised = tokens(texts, key, text)
+    tokenised = parts.select(key, "words")
     pairs = top_list(word_counts(tokenised, key, pairs=True), 5, "top_bigrams", key)
     rare = rarity(word_counts(tokenised, key), freq, key)
     none = F.array().cast("array<string>")
@@ -287,6 +289,8 @@ def contrast(
         F.count_if(F.col("side") == "high").alias("high_count"),
         F.count_if(F.col("side") == "low").alias("low_count"),
     )
+    # Totals, both leader lists and the result read the counts: one pass over the corpus.
+    counts = stage_table(counts, "term-counts")
     totals = (
         counts.agg(
             F.greatest(F.sum("high_count"), F.lit(1)).alias("h"),
@@ -368,7 +372,8 @@ def doc_term_counts(
     texts: DataFrame, key: str = "mbid", text: str = "text", **limits
 ) -> DataFrame:
     """Sparse document-term table ``(mbid, word, n)`` over the vocabulary."""
-    counts = word_counts(tokens(texts, key, text), key)
+    # The vocabulary and the result both read the counts: texts are split once.
+    counts = stage_table(word_counts(tokens(texts, key, text), key).drop("first_pos"), "doc-terms")
     n = texts.agg(F.count("*").alias("x")).scalar()
     words = vocabulary(counts, n, **limits)
     # The vocabulary has at most `size` words.
