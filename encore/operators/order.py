@@ -33,9 +33,12 @@ def with_value_range(
 ) -> DataFrame:
     """Add ``out``: the ordinal of the equal-depth range holding ``value`` (monotone in it)."""
     probe = df.select(F.col(value).cast("double").alias(_PROBE))
-    shares = [i / ranges for i in range(1, ranges)]
-    bounds = sorted(set(probe.approxQuantile(_PROBE, shares, 1.0 / (2 * ranges))))
-    inner = [b for b in bounds if b == b and abs(b) != float("inf")]
+    shares = F.array(*[F.lit(i / ranges) for i in range(1, ranges)]).cast("array<double>")
+    found = None
+    if ranges > 1:
+        # One row of at most `ranges` numbers comes back.
+        found = probe.agg(F.percentile_approx(_PROBE, shares, F.lit(2 * ranges))).first()[0]
+    inner = sorted({b for b in found or () if b == b and abs(b) != float("inf")})
     if not inner:
         return df.withColumn(out, F.lit(0))
     splits = [float("-inf"), *inner, float("inf")]
@@ -60,8 +63,9 @@ def group_quantiles(
     """Exact quantiles per group: columns ``by``, ``n`` (non-null values) and array ``out``.
 
     ``linear`` interpolates between neighbours, ``nearest`` takes the closest rank, ``closing``
-    the last of the first floor(share * n) values (null when that is none), and ``approx`` uses
-    Spark's sketch in one pass. With no ``by`` the result is one row (none when empty).
+    the last of the first floor(share * n) values (null when that is none; a group without any
+    is left out), and ``approx`` uses Spark's sketch in one pass. With no ``by`` the result is
+    one row (none when empty).
     """
     by = list(by)
     rows = df.select(*by, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
