@@ -18,12 +18,12 @@ from encore.functions import (
     match_key,
     minutes_seconds,
     model_slug,
-    word_list,
     year_prefix,
 )
 from encore.operators.prepare import with_audio, with_dates, with_interactions, with_target
 from encore.operators.profile import observed_counts
 from encore.operators.stats import guarded
+from encore.operators.terms import tokens
 from encore.plans.scoring import back_transform
 
 T = ("tracks",)
@@ -211,8 +211,8 @@ def clean_text_query(spark, sf):
     f"SELECT doc_id, array_to_string({WORDS_SQL}, ' ') AS words FROM documents",
 )
 def tokenize(spark, sf):
-    return table(spark, sf, "documents").select(
-        "doc_id", F.array_join(word_list(F.col("text")), " ").alias("words")
+    return tokens(table(spark, sf, "documents"), "doc_id").select(
+        "doc_id", F.array_join("words", " ").alias("words")
     )
 
 
@@ -223,8 +223,8 @@ def tokenize(spark, sf):
     FROM (SELECT doc_id, w, CAST(unnest(range(1, len(w))) AS INT) AS i FROM w)""",
 )
 def bigrams(spark, sf):
-    return table(spark, sf, "documents").select(
-        "doc_id", F.posexplode(adjacent_pairs(word_list(F.col("text")))).alias("pos", "pair")
+    return tokens(table(spark, sf, "documents"), "doc_id").select(
+        "doc_id", F.posexplode(adjacent_pairs(F.col("words"))).alias("pos", "pair")
     ).select("doc_id", (F.col("pos") + 1).alias("pos"), "pair")
 
 

@@ -71,7 +71,7 @@ def flip_the(name: Column) -> Column:
 def sorted_words(text: Column) -> Column:
     """Words of a normalised text in byte order, joined by one space."""
     words = F.filter(F.split(text, " "), lambda w: w != "")
-    return F.array_join(F.array_sort(words), " ")
+    return F.array_join(F.sort_array(words), " ")
 
 
 def non_blank_lines(text: Column) -> Column:

@@ -58,14 +58,19 @@ def _similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     )
 
 
+# Declared non-deterministic so that a filter on the score reuses it instead of scoring twice.
+_similarity = _similarity.asNondeterministic()
+
+
 def within_reach(a: Column, b: Column, cut: int = FUZZY_CUT) -> Column:
     """Cheap native test that never rejects a pair reaching the cut: first lengths, then edit
     distance (an insert/delete distance is at least the edit distance)."""
     total = F.length(a) + F.length(b)
     slack = F.floor(total * (100 - cut) / F.lit(100)).cast("int")
     short = F.least(F.length(a), F.length(b))
-    # The threshold argument of levenshtein must be constant, so the bound is tested outside.
-    return (200 * short >= cut * total) & (F.levenshtein(a, b) <= slack)
+    # With a bound the distance is computed in a band and is -1 beyond it.
+    bounded = F.call_function("levenshtein", a, b, slack)
+    return (200 * short >= cut * total) & (bounded >= 0)
 
 
 def title_similarity(a: Column, b: Column) -> Column:
@@ -89,11 +94,16 @@ def with_rare_pairs(df: DataFrame, title: str, out: str, cut: int = FUZZY_CUT) -
         lambda i: F.substr(F.col("_padded"), i, F.lit(_GRAM)),
     )
     g = F.col("_grams")
-    numbered = F.transform(
-        g,
-        lambda x, i: F.concat(
-            x, F.size(F.filter(F.slice(g, F.lit(1), i + 1), lambda h: h == x)).cast("string")
-        ),
+    # Counting earlier equals is only needed where a pair repeats.
+    numbered = F.when(
+        F.size(F.array_distinct(g)) == F.size(g), F.transform(g, lambda x: F.concat(x, F.lit("1")))
+    ).otherwise(
+        F.transform(
+            g,
+            lambda x, i: F.concat(
+                x, F.size(F.filter(F.slice(g, F.lit(1), i + 1), lambda h: h == x)).cast("string")
+            ),
+        )
     )
     lost = F.floor(F.length(title) * F.lit(_GRAM * 2 * c / (1 + c)) + F.lit(1e-9)).cast("int")
     return (
@@ -155,7 +165,7 @@ def link_fuzzy(pairs: DataFrame, targets: DataFrame, cut: int = FUZZY_CUT) -> Da
     Ties go to the higher target, then the smaller id.
     """
     by_artist = targets.select(
-        F.explode(F.array_distinct(F.array("a", flip_the(F.col("a"))))).alias("block"),
+        F.explode_outer(F.array_distinct(F.array("a", flip_the(F.col("a"))))).alias("block"),
         sorted_words(F.col("t")).alias("s"),
         "id",
         "target",
@@ -178,13 +188,17 @@ def link_fuzzy(pairs: DataFrame, targets: DataFrame, cut: int = FUZZY_CUT) -> Da
             sorted_words(F.col("t")).alias("u"),
         )
     )
-    left = with_rare_pairs(probes, "u", "ug", cut).withColumn("g", F.explode("ug"))
-    right = with_rare_pairs(indexed, "s", "sg", cut).withColumn("g", F.explode("sg"))
+    # The outer form keeps the optimizer from building the pairs again to test the list, below
+    # the reductions above.
+    left = with_rare_pairs(probes, "u", "ug", cut).withColumn("g", F.explode_outer("ug"))
+    right = with_rare_pairs(indexed, "s", "sg", cut).withColumn("g", F.explode_outer("sg"))
     met = left.join(right, ["block", "g"])
-    # A pair that shares several grams is taken only at the first of them.
+    # A pair that shares several grams is taken only at the first of them. The lengths are the
+    # cheapest test and come first.
+    close = 200 * F.least(F.length("u"), F.length("s")) >= cut * (F.length("u") + F.length("s"))
     first = F.array_intersect("ug", "sg")[0] == F.col("g")
     scored = (
-        met.where(first & within_reach(F.col("u"), F.col("s"), cut))
+        met.where(close & first & within_reach(F.col("u"), F.col("s"), cut))
         .select("a", "t", "best", _similarity("u", "s").alias("score"))
         .where(F.col("score") >= cut)
     )

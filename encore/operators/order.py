@@ -33,9 +33,10 @@ def with_value_range(
 ) -> DataFrame:
     """Add ``out``: the ordinal of the equal-depth range holding ``value`` (monotone in it)."""
     probe = df.select(F.col(value).cast("double").alias(_PROBE))
-    shares = F.array(*[F.lit(i / ranges) for i in range(1, ranges)]).cast("array<double>")
     found = None
     if ranges > 1:
+        # Written as one text: a thousand separate literal calls would cost more than the scan.
+        shares = F.expr("array(" + ", ".join(f"{i / ranges!r}D" for i in range(1, ranges)) + ")")
         # One row of at most `ranges` numbers comes back.
         found = probe.agg(F.percentile_approx(_PROBE, shares, F.lit(2 * ranges))).first()[0]
     inner = sorted({b for b in found or () if b == b and abs(b) != float("inf")})

@@ -37,12 +37,9 @@ def winsorize(
         .select(F.struct(*columns))
         .scalar()
     )
-    return df.withColumns(
-        {
-            c: clip_keep_null(F.col(c).cast("double"), bounds[c][0], bounds[c][1])
-            for c in columns
-        }
-    )
+    b = F.col("_bounds")
+    clipped = {c: clip_keep_null(F.col(c).cast("double"), b[c][0], b[c][1]) for c in columns}
+    return df.withColumn("_bounds", bounds).withColumns(clipped).drop("_bounds")
 
 
 def high_label(

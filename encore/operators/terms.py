@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from encore.config import CORPUS_STOP_WORDS, PROFILE_STOP_WORDS, RARE_WORD_SHARE, TARGET
 from encore.functions import adjacent_pairs, non_blank_lines, strip_whitespace, word_list
 from encore.operators.order import group_quantiles, top_per_group
-from encore.session import stage_table
+from encore.session import spread, stage_table
 
 _RAW_SPLIT = r"(?U)[\s\x1c-\x1f]+"
 
@@ -30,14 +30,17 @@ def tokens(
     texts: DataFrame, key: str = "mbid", text: str = "text", stop_words=CORPUS_STOP_WORDS
 ) -> DataFrame:
     """``(mbid, words)``."""
-    return texts.select(key, word_list(F.col(text), stop_words).alias("words"))
+    rows = spread(texts.select(key, text), key)
+    return rows.select(key, word_list(F.col(text), stop_words).alias("words"))
 
 
 def word_counts(tokenised: DataFrame, key: str = "mbid", pairs: bool = False) -> DataFrame:
     """``(mbid, word, n, first_pos)`` per distinct word (or adjacent pair) of each text."""
     items = adjacent_pairs(F.col("words")) if pairs else F.col("words")
+    # The outer form keeps the optimizer from testing the list, and so building it, twice.
     return (
-        tokenised.select(key, F.posexplode(items).alias("pos", "word"))
+        tokenised.select(key, F.posexplode_outer(items).alias("pos", "word"))
+        .where(F.col("word").isNotNull())
         .groupBy(key, "word")
         .agg(F.count("*").alias("n"), F.min("pos").alias("first_pos"))
     )
@@ -106,7 +109,7 @@ def with_parts(
 ) -> DataFrame:
     """The text split once: ``words``, non-blank ``lines`` and its ``shape``. Features read these
     columns, so no split is repeated."""
-    return texts.select(
+    return spread(texts.select(key, text), key).select(
         key,
         text,
         word_list(F.col(text), stop_words).alias("words"),
@@ -124,7 +127,8 @@ def sentiment(
     one and each unscored word by one.
     """
     bare = F.regexp_replace(F.lower(text), r"(?U)[^\w\s']", "")
-    found = texts.select(key, F.explode_outer(raw_words(bare)).alias("word"))
+    rows = spread(texts.select(key, text), key)
+    found = rows.select(key, F.explode_outer(raw_words(bare)).alias("word"))
     v = F.coalesce(F.col("valence"), F.lit(0.0))
     sums = (
         found.groupBy(key, "word")
@@ -155,7 +159,8 @@ def sentiment(
 def word_shares(texts: DataFrame, text: str = "text") -> DataFrame:
     """``(word, freq)``: a frequency table built from a reference corpus."""
     counts = (
-        texts.select(F.explode(word_list(F.col(text), ())).alias("word"))
+        texts.select(F.explode_outer(word_list(F.col(text), ())).alias("word"))
+        .where(F.col("word").isNotNull())
         .groupBy("word")
         .agg(F.count("*").alias("n"))
     )
@@ -283,7 +288,8 @@ def contrast(
     terms = (
         tokens(texts, key, text)
         .join(sided, key)
-        .select("side", F.explode(adjacent_pairs(words) if pairs else words).alias("word"))
+        .select("side", F.explode_outer(adjacent_pairs(words) if pairs else words).alias("word"))
+        .where(F.col("word").isNotNull())
     )
     counts = terms.groupBy("word").agg(
         F.count_if(F.col("side") == "high").alias("high_count"),

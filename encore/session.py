@@ -46,6 +46,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash rows over the cores when the input has fewer splits than cores.
+
+    Meant for CPU-heavy work straight after a scan. A large input has many splits and is left
+    alone, so no text is ever shuffled for this at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def stage_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends at the files."""
     spark = df.sparkSession
