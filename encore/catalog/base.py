@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from encore.functions import word_list
-from encore.session import stage_table
+from encore.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -62,6 +62,15 @@ def query(name: str, oracle: str | None = None, views: tuple[str, ...] = ()) ->
     return add
 
 
+TRACKS = (
+    "mbid bigint, title string, artist_name string, genre string, genre_match_count int, "
+    "release_type string, artist_country string, artist_type string, duration_sec double, "
+    "release_year int, tempo double, danceability double, loudness double, "
+    "dynamic_complexity double, total_listen_count bigint, total_user_count bigint, "
+    "release_decade int, track_age int, has_audio_features int, key string, "
+    "repeat_listens bigint, log_repeat_listens double"
+)
+
 # --- views ------------------------------------------------------------------------------------
 
 # Enrichment exists for items returned in bulk, which covers a bit under half of them.
@@ -147,7 +156,7 @@ def _as_spark(sql: str, names: tuple[str, ...]) -> str:
     return sql
 
 
-_STAGED: dict[tuple[str, str], DataFrame] = {}
+_STAGED: dict[tuple[str, str], str] = {}
 
 
 def tracks(spark: SparkSession, sf: str) -> DataFrame:
@@ -159,8 +168,10 @@ def tracks(spark: SparkSession, sf: str) -> DataFrame:
     at = (spark.sparkContext.applicationId, sf)
     if at not in _STAGED:
         built = _view(spark, sf, VIEW_SQL["tracks"], ("lineitem", "orders", "part"))
-        _STAGED[at] = stage_table(built, "tracks")
-    return _STAGED[at]
+        path = scratch_path(spark, "tracks")
+        built.write.parquet(path)
+        _STAGED[at] = path
+    return spark.read.schema(TRACKS).parquet(_STAGED[at])
 
 
 def raw_items(spark: SparkSession, sf: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from encore.catalog.base import docs, query, tracks
+from encore.catalog.base import docs, query, texts, tracks
 from encore.config import FeatureConfig
 from encore.learning import metrics, models, prepare, splits
 from encore.operators.profile import coverage, existing
@@ -326,7 +326,7 @@ def imbalance(spark, sf):
 @query("feature_set_ablation")
 def feature_set_ablation(spark, sf):
     cells = {**lexical_features(F.col("words")), **line_features(F.col("lines"))}
-    features = with_parts(docs(spark, sf)).select("mbid", *[c.alias(n) for n, c in cells.items()])
+    features = with_parts(texts(spark, sf)).select("mbid", *[c.alias(n) for n, c in cells.items()])
     target = docs(spark, sf).select("mbid", "log_repeat_listens", "quality", "toxic")
     rows = features.join(target, "mbid")
     staged = stage_table(splits.with_holdout(rows, "mbid"), "text-frame")

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from encore.catalog.base import query, tracks
 from encore.catalog.learning import _CAT, _GUESS_SQL, _NUM, _framed, _guessed
+from encore.catalog.statistics import KRUSKAL_SQL, SPEARMAN_SQL
 from encore.config import FeatureConfig
 from encore.learning import models
-from encore.operators import rollups
 from encore.plans import report, scoring
 
 T = ("tracks",)
@@ -90,33 +90,30 @@ def score_items(spark, sf):
 
 @query(
     "report_rows",
-    """SELECT * FROM (SELECT 'dataset' AS section, 0 AS ord, 'rows' AS key,
-            CAST(COUNT(*) AS VARCHAR) AS value FROM tracks
-        UNION ALL SELECT 'dataset', 1, 'columns', '5'
-        UNION ALL SELECT 'dataset', 2, 'target', 'log_repeat_listens from repeat_listens'
-        UNION ALL SELECT 'dataset', 3, 'rows_with_audio', CAST(SUM(has_audio_features)::BIGINT AS VARCHAR)
-            FROM tracks
-        UNION ALL SELECT 'dataset', 4, 'audio_pct',
-            printf('%.1f', 100.0 * SUM(has_audio_features) / COUNT(*)) FROM tracks
-        UNION ALL SELECT 'median repeats', CAST(ROW_NUMBER() OVER (ORDER BY m DESC, genre) AS INT),
-            genre, CAST(CAST(m * 10 AS BIGINT) AS VARCHAR)
-            FROM (SELECT genre, MEDIAN(repeat_listens) AS m FROM tracks GROUP BY genre))""",
+    f"""WITH k AS ({KRUSKAL_SQL}), s AS ({SPEARMAN_SQL})
+    SELECT 'dataset' AS section, 0 AS ord, 'rows' AS key, CAST(COUNT(*) AS VARCHAR) AS value
+        FROM tracks
+    UNION ALL SELECT 'dataset', 1, 'columns', '22'
+    UNION ALL SELECT 'dataset', 2, 'target', 'log_repeat_listens from repeat_listens'
+    UNION ALL SELECT 'dataset', 3, 'rows_with_audio',
+        CAST(SUM(has_audio_features)::BIGINT AS VARCHAR) FROM tracks
+    UNION ALL SELECT 'dataset', 4, 'audio_pct',
+        printf('%.1f', 100.0 * SUM(has_audio_features) / COUNT(*)) FROM tracks
+    UNION ALL SELECT 'median repeats', CAST(ROW_NUMBER() OVER (ORDER BY m DESC, genre) AS INT),
+        genre, CAST(m AS VARCHAR)
+        FROM (SELECT genre, MEDIAN(repeat_listens) AS m FROM tracks GROUP BY genre)
+    UNION ALL SELECT 'kruskal-wallis', 3, 'h', printf('%.4f', h) FROM k
+    UNION ALL SELECT 'spearman', 1, 'rho', printf('%.4f', rho) FROM s""",
     T,
 )
 def report_rows(spark, sf):
-    rows = tracks(spark, sf).select(
-        "mbid", "genre", "repeat_listens", "log_repeat_listens", "has_audio_features"
-    )
-    ranked = rollups.median_by_category(rows).select(
-        "genre",
-        (F.col("median_repeats") * 10).cast("bigint").alias("m"),
-        "median_repeats",
-    )
-    # One row per category.
-    from pyspark.sql import Window as W
-
-    order = W.partitionBy(F.lit(0)).orderBy(F.desc("median_repeats"), "genre")
-    listed = ranked.withColumn("ord", F.row_number().over(order))
-    return report.union(
-        report.dataset_context(rows), report.section(listed, "median repeats", "ord", "genre", "m")
+    rows = report.eda_report(tracks(spark, sf))
+    tests = F.col("section").isin("kruskal-wallis", "spearman")
+    # SQL has no tail probabilities, so of the tests only the statistics are compared.
+    shown = rows.where(~tests | F.col("key").isin("h", "rho"))
+    return shown.withColumn(
+        "value",
+        F.when(tests, F.format_string("%.4f", F.col("value").try_cast("double"))).otherwise(
+            F.col("value")
+        ),
     )

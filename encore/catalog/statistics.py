@@ -148,9 +148,7 @@ def linear_trend(spark, sf):
     return stats.linear_trend(tracks(spark, sf), _FEATURES)
 
 
-@query(
-    "kruskal_h",
-    """WITH top AS (SELECT genre FROM tracks GROUP BY genre ORDER BY COUNT(*) DESC, genre LIMIT 5),
+KRUSKAL_SQL = """WITH top AS (SELECT genre FROM tracks GROUP BY genre ORDER BY COUNT(*) DESC, genre LIMIT 5),
     x AS (SELECT genre, log_repeat_listens AS v FROM tracks
           WHERE genre IN (SELECT genre FROM top) AND genre IN
             (SELECT genre FROM tracks GROUP BY genre HAVING COUNT(log_repeat_listens) > 20)),
@@ -162,7 +160,17 @@ def linear_trend(spark, sf):
     m AS (SELECT COUNT(*) AS k, CAST(SUM(c) AS DOUBLE) AS n, SUM(s * s / c) AS q FROM g)
     SELECT k AS groups, CAST(n AS BIGINT) AS n, k - 1 AS freedom,
         ROUND((12.0 / (n * (n + 1)) * q - 3 * (n + 1)) / (1 - t / (n * n * n - n)), 6) AS h
-    FROM m, t WHERE k >= 2""",
+    FROM m, t WHERE k >= 2"""
+SPEARMAN_SQL = """WITH x AS (SELECT duration_sec AS a, log_repeat_listens AS b FROM tracks
+        WHERE duration_sec IS NOT NULL AND log_repeat_listens IS NOT NULL),
+    r AS (SELECT RANK() OVER (ORDER BY a) + (COUNT(*) OVER (PARTITION BY a) - 1) / 2.0 AS ra,
+            RANK() OVER (ORDER BY b) + (COUNT(*) OVER (PARTITION BY b) - 1) / 2.0 AS rb FROM x)
+    SELECT COUNT(*) AS n, ROUND(corr(ra, rb), 6) AS rho FROM r HAVING COUNT(*) > 20"""
+
+
+@query(
+    "kruskal_h",
+    KRUSKAL_SQL,
     T,
 )
 def kruskal_h(spark, sf):
@@ -171,11 +179,7 @@ def kruskal_h(spark, sf):
 
 @query(
     "spearman",
-    """WITH x AS (SELECT duration_sec AS a, log_repeat_listens AS b FROM tracks
-        WHERE duration_sec IS NOT NULL AND log_repeat_listens IS NOT NULL),
-    r AS (SELECT RANK() OVER (ORDER BY a) + (COUNT(*) OVER (PARTITION BY a) - 1) / 2.0 AS ra,
-            RANK() OVER (ORDER BY b) + (COUNT(*) OVER (PARTITION BY b) - 1) / 2.0 AS rb FROM x)
-    SELECT COUNT(*) AS n, ROUND(corr(ra, rb), 6) AS rho FROM r HAVING COUNT(*) > 20""",
+    SPEARMAN_SQL,
     T,
 )
 def spearman(spark, sf):

@@ -246,6 +246,7 @@ def keep_last(
 
 
 def _keep(df, key, order, columns, pick) -> DataFrame:
+    """``order`` should decide alone; remaining ties are open."""
     key = list(key)
     rest = [c for c in (columns or df.columns) if c not in key]
     kept = df.groupBy(*key).agg(pick(F.struct(*rest), F.struct(*order)).alias("_row"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from encore.config import RAW_TARGET, TARGET
@@ -88,6 +88,13 @@ def histogram(
     )
 
 
+def _pearson(a: Column, b: Column) -> Column:
+    """Pearson r over complete pairs; null for a constant column, where ``corr`` fails in ANSI
+    mode."""
+    x, y = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def correlations(df: DataFrame, pairs: Sequence[tuple[str, str]], digits: int = 6) -> DataFrame:
     """``(a, b, n, r)`` for each pair over its own complete rows, in one aggregate."""
     number = {c: F.col(c).try_cast("double") for c in {x for pair in pairs for x in pair}}
@@ -98,7 +105,7 @@ def correlations(df: DataFrame, pairs: Sequence[tuple[str, str]], digits: int =
                 F.lit(a).alias("a"),
                 F.lit(b).alias("b"),
                 F.count_if(number[a].isNotNull() & number[b].isNotNull()).alias("n"),
-                F.round(F.corr(number[a], number[b]), digits).alias("r"),
+                F.round(_pearson(number[a], number[b]), digits).alias("r"),
             ).alias(name)
             for name, (a, b) in zip(names, pairs)
         ]
@@ -122,18 +129,20 @@ def target_correlations(df: DataFrame, features: Sequence[str], target: str = TA
 def linear_trend(df: DataFrame, features: Sequence[str], target: str = TARGET) -> DataFrame:
     """Least-squares line and Pearson r of the target on each feature, over all rows."""
     y = F.col(target).cast("double")
-    one = df.agg(
-        *[
-            F.struct(
-                F.lit(f).alias("feature"),
-                F.round(F.regr_slope(y, F.col(f).cast("double")), 6).alias("slope"),
-                F.round(F.regr_intercept(y, F.col(f).cast("double")), 6).alias("intercept"),
-                F.round(F.corr(F.col(f).cast("double"), y), 6).alias("r"),
-                F.regr_count(y, F.col(f).cast("double")).alias("n"),
-            ).alias(f"_{i}")
-            for i, f in enumerate(features)
-        ]
-    )
+
+    def line(f: str) -> Column:
+        a, b = F.col(f).cast("double"), y
+        x, z = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
+        slope = F.try_divide(F.covar_pop(a, b), F.var_pop(x))
+        return F.struct(
+            F.lit(f).alias("feature"),
+            F.round(slope, 6).alias("slope"),
+            F.round(F.avg(z) - slope * F.avg(x), 6).alias("intercept"),
+            F.round(_pearson(a, b), 6).alias("r"),
+            F.count_if(a.isNotNull() & b.isNotNull()).alias("n"),
+        )
+
+    one = df.agg(*[line(f).alias(f"_{i}") for i, f in enumerate(features)])
     return one.select(F.inline(F.array(*[f"_{i}" for i in range(len(features))])))
 
 
@@ -187,15 +196,21 @@ def kruskal_wallis(
         .where(F.col("groups") >= 2)
         .withColumn(
             "h",
-            (F.lit(12.0) / (n * (n + 1)) * F.col("_s") - 3 * (n + 1))
-            / (F.lit(1.0) - tie / (n * n * n - n)),
+            # Null when every value is the same.
+            F.try_divide(
+                F.lit(12.0) / (n * (n + 1)) * F.col("_s") - 3 * (n + 1),
+                F.lit(1.0) - tie / (n * n * n - n),
+            ),
         )
         .select(
             "groups",
             "n",
             (F.col("groups") - 1).alias("freedom"),
             "h",
-            chi_square_tail("h", (F.col("groups") - 1).cast("double")).alias("p_value"),
+            F.when(
+                F.col("h").isNotNull(),
+                chi_square_tail("h", (F.col("groups") - 1).cast("double")),
+            ).alias("p_value"),
         )
     )
 
@@ -224,12 +239,19 @@ def spearman(
         .join(ry, "_y")
         .agg(
             F.sum(w).alias("n"),
-            (F.sum(w * dx * dy) / F.sqrt(F.sum(w * dx * dx) * F.sum(w * dy * dy))).alias("rho"),
+            # Null for a constant column.
+            F.try_divide(
+                F.sum(w * dx * dy), F.sqrt(F.sum(w * dx * dx) * F.sum(w * dy * dy))
+            ).alias("rho"),
         )
         .where(F.col("n") > more_than)
     )
-    t = F.col("rho") * F.sqrt((F.col("n") - 2) / (1 - F.col("rho") * F.col("rho")))
-    return one.select("n", "rho", t_two_sided(t, (F.col("n") - 2).cast("double")).alias("p_value"))
+    rest = 1 - F.col("rho") * F.col("rho")
+    t = F.col("rho") * F.sqrt(F.try_divide(F.col("n") - 2, F.when(rest > 0, rest)))
+    p = F.when(t.isNotNull(), t_two_sided(t, (F.col("n") - 2).cast("double"))).when(
+        F.col("rho").isNotNull(), F.lit(0.0)
+    )
+    return one.select("n", "rho", p.alias("p_value"))
 
 
 def box_summary(df: DataFrame, group: str = "genre", value: str = TARGET) -> DataFrame:
@@ -287,7 +309,7 @@ def share_at_or_below(points: DataFrame, point: str, df: DataFrame, value: str,
     )
     total = df.agg(F.count(value).alias("x")).scalar()
     ranks = value_ranks(marks, "_x", weight="_w").select(
-        "_x", (F.lit(100.0) * (F.col("below") + F.col("n")) / total).alias(out)
+        "_x", F.try_divide(F.lit(100.0) * (F.col("below") + F.col("n")), total).alias(out)
     )
     return points.join(ranks, F.col(point).cast("double") == F.col("_x"), "left").drop("_x")
 

@@ -29,7 +29,7 @@ def features_with_target(
     extra: tuple[str, ...] = ("genre",),
 ) -> DataFrame:
     """Features beside the target; repeated item rows count once (the lowest target)."""
-    unique = keep_first(items.select(key, target, *extra), [key], [target])
+    unique = keep_first(items.select(key, target, *extra), [key], [target, *extra])
     return features.join(unique, key, "left")
 
 

@@ -52,6 +52,20 @@ def test_kruskal(spark):
     assert stats.kruskal_wallis(one, "g", "v").count() == 0
 
 
+def test_constant_and_perfect_columns(spark):
+    df = spark.range(60).select(
+        F.col("id").cast("double").alias("x"), F.lit(1.0).alias("c"),
+        F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("g"),
+    )
+    assert rows(stats.spearman(df, "x", "x")) == [(60, 1.0, 0.0)]
+    assert rows(stats.spearman(df, "x", "c")) == [(60, None, None)]
+    assert rows(stats.kruskal_wallis(df, "g", "c").select("h", "p_value")) == [(None, None)]
+    assert stats.correlations(df, [("x", "c")]).first()["n"] == 60
+    assert stats.linear_trend(df, ["c"], "x").first()["n"] == 60
+    none = stats.share_at_or_below(df.limit(1), "x", df.where("x < 0"), "x", "s")
+    assert none.first()["s"] is None
+
+
 def test_histogram_keeps_empty_bins_and_the_top_edge(spark):
     df = spark.createDataFrame([(float(v),) for v in [0, 0, 1, 9, 10]] + [(None,)], "v double")
     assert [r["n"] for r in stats.histogram(df, "v", 10).collect()] == [2, 1, 0, 0, 0, 0, 0, 0, 0, 2]
