@@ -88,29 +88,39 @@ def histogram(
     )
 
 
-def _pearson(a: Column, b: Column) -> Column:
-    """Pearson r over complete pairs; null for a constant column, where ``corr`` fails in ANSI
+def _pearson(x: Column, y: Column) -> Column:
+    """Pearson r of complete pairs; null for a constant column, where ``corr`` fails in ANSI
     mode."""
-    x, y = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
-    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(x) * F.stddev_pop(y))
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
 def correlations(df: DataFrame, pairs: Sequence[tuple[str, str]], digits: int = 6) -> DataFrame:
-    """``(a, b, n, r)`` for each pair over its own complete rows, in one aggregate."""
-    number = {c: F.col(c).try_cast("double") for c in {x for pair in pairs for x in pair}}
-    names = [f"_{i}" for i in range(len(pairs))]
-    one = df.agg(
+    """``(a, b, n, r)`` for each pair over its own complete rows, in one pass.
+
+    Pairs become rows inside the task and combine there to one row per pair, so the generated
+    code stays small however many pairs there are.
+    """
+    wanted = df.sparkSession.createDataFrame(list(pairs), "a string, b string")
+    cells = F.array(
         *[
             F.struct(
                 F.lit(a).alias("a"),
                 F.lit(b).alias("b"),
-                F.count_if(number[a].isNotNull() & number[b].isNotNull()).alias("n"),
-                F.round(_pearson(number[a], number[b]), digits).alias("r"),
-            ).alias(name)
-            for name, (a, b) in zip(names, pairs)
+                F.col(a).try_cast("double").alias("x"),
+                F.col(b).try_cast("double").alias("y"),
+            )
+            for a, b in pairs
         ]
     )
-    return one.select(F.inline(F.array(*names)))
+    found = (
+        df.select(F.inline(cells))
+        .where(F.col("x").isNotNull() & F.col("y").isNotNull())
+        .groupBy("a", "b")
+        .agg(F.count("*").alias("_n"), _pearson(F.col("x"), F.col("y")).alias("_r"))
+    )
+    return wanted.join(F.broadcast(found), ["a", "b"], "left").select(
+        "a", "b", F.coalesce("_n", F.lit(0)).alias("n"), F.round("_r", digits).alias("r")
+    )
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str], listwise: bool = False) -> DataFrame:
@@ -138,7 +148,7 @@ def linear_trend(df: DataFrame, features: Sequence[str], target: str = TARGET) -
             F.lit(f).alias("feature"),
             F.round(slope, 6).alias("slope"),
             F.round(F.avg(z) - slope * F.avg(x), 6).alias("intercept"),
-            F.round(_pearson(a, b), 6).alias("r"),
+            F.round(_pearson(x, z), 6).alias("r"),
             F.count_if(a.isNotNull() & b.isNotNull()).alias("n"),
         )
 
