@@ -21,10 +21,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.llm.base import fold, map_batches, query, ship, sigmoid, table, utf8
+from encore.llm.base import bounded, fold, map_batches, query, ship, sigmoid, table, utf8
 
 UNKNOWN = "und"
 #: Family of each language code; others stand alone.
@@ -217,32 +217,25 @@ _SCORERS: dict[str, Scorer] = {}
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """Fit on so many texts of each language at most, picked by the hash of the id."""
-    rank = Window.partitionBy("lang").orderBy("h", "doc_id")
     sample = (
         docs.select(
             F.col(id_col).cast("bigint").alias("doc_id"),
             F.col(lang_col).cast("string").alias("lang"),
-            F.xxhash64(id_col).alias("h"),
             F.col(text_col).alias("body"),
         )
         .where("lang IS NOT NULL AND body IS NOT NULL")
         .where(fold("doc_id", FOLDS) != HELD_OUT)
     )
-    picked = (
-        sample.select("lang", "h", "doc_id")
-        .withColumn("k", F.row_number().over(rank))
-        .where(F.col("k") <= TEXTS_PER_LANGUAGE)
-        .select("doc_id")
-        .distinct()
-    )
+    # So many ids per language at most, so the broadcast is bounded.
+    picked = bounded(sample.select("lang", "doc_id"), TEXTS_PER_LANGUAGE, "doc_id", "lang")
+    own = sample.join(F.broadcast(picked.select("doc_id").distinct()), "doc_id")
 
     def run(batch):
         found = [text_features(t) for t in batch.column("body").to_pylist()]
         return {"doc_id": batch.column("doc_id"), "lang": batch.column("lang"),
                 "at": [a for a, _ in found], "v": [v for _, v in found]}
 
-    # So many ids per language at most, so the broadcast is bounded.
-    own = sample.join(F.broadcast(picked), "doc_id").select("doc_id", "lang", utf8("body").alias("body"))
+    own = own.select("doc_id", "lang", utf8("body").alias("body"))
     got = map_batches(own, run, "doc_id bigint, lang string, at array<bigint>, v array<double>").toPandas()
     got = got.sort_values(["doc_id", "lang"], kind="stable")
     return fit_model(list(zip(got["at"].map(np.asarray), got["v"].map(np.asarray))), list(got["lang"]))

@@ -20,10 +20,10 @@ import uuid
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.llm.base import Memo, fold, map_batches, query, sigmoid, table, utf8
+from encore.llm.base import Memo, bounded, fold, map_batches, query, sigmoid, table, utf8
 
 #: Bound of the training sample: so many labelled rows of each class.
 ROWS_PER_CLASS = 2_000
@@ -111,16 +111,13 @@ def fit_weights(rows: list, labels: np.ndarray, epochs: int = EPOCHS, seed: int
 
 def train(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     """Weights from so many labelled rows of each class at most, picked by the hash of the id."""
-    rank = Window.partitionBy("y").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = (
+    known = (
         labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("int").alias("y"))
         .where("doc_id IS NOT NULL AND y IN (0, 1)")
         .where(fold("doc_id", FOLDS) != HELD_OUT)
         .distinct()
-        .withColumn("k", F.row_number().over(rank))
-        .where(F.col("k") <= ROWS_PER_CLASS)
-        .select("doc_id", "y")
     )
+    picked = bounded(known, ROWS_PER_CLASS, "doc_id", "y")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), utf8("text").alias("body"))
 
     def run(batch):
