@@ -3,7 +3,11 @@
 from encore.llm import (  # noqa: F401
     extract,
     language,
+    line_dedup,
+    packing,
     quality,
     rules,
+    simhash,
+    suffixes,
 )
 from encore.llm.base import ORACLES, QUERIES  # noqa: F401
