@@ -52,7 +52,9 @@ _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this library's modules to the Python workers, once per application."""
+    """Make ready for Python workers: limit their batches, and send them this library's modules,
+    once per application."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     if (app := spark.sparkContext.applicationId) not in _SHIPPED:
         top = Path(__file__).resolve().parents[1]
         path = f"{tempfile.mkdtemp()}/{top.name}.zip"
@@ -73,7 +75,6 @@ def map_batches(
     """
     spark = df.sparkSession
     ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     wanted = to_arrow(spark, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,8 +5,10 @@ from encore.llm import (  # noqa: F401
     language,
     line_dedup,
     packing,
+    pieces,
     quality,
     rules,
+    search,
     simhash,
     suffixes,
 )

@@ -153,6 +153,12 @@ def dedup_lines(docs: DataFrame, **how) -> DataFrame:
     )
 
 
+def keep_lines(docs: DataFrame) -> DataFrame:
+    """``docs`` with the lines that go taken from ``text``."""
+    text = F.array_join("_runs_kept", "\n").alias("text")
+    return dedup_lines(docs).select(*[text if c == "text" else F.col(c) for c in docs.columns])
+
+
 _AZ, _az = string.ascii_uppercase, string.ascii_lowercase
 
 

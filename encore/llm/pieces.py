@@ -47,7 +47,7 @@ _NONE = -math.inf
 class Pieces:
     """The vocabulary with its scores, and what has been encoded so far."""
 
-    PREFIXES, CHUNKS = 300_000, 300_000
+    PREFIXES, CHUNKS = 500_000, 500_000
 
     def __init__(self, path: str):
         import sentencepiece
@@ -96,59 +96,60 @@ class Pieces:
         found = self.ids.get(piece)
         return found or np.array([self.bytes[b] for b in piece.encode()], "<u4").tobytes()
 
-    def _viterbi(self, chunk: str, known: dict) -> None:
-        """Forward scores of all prefixes of ``chunk`` that aren't known."""
-        k = len(chunk)
-        while chunk[:k] not in known:
-            k -= 1
-        for end in range(k + 1, len(chunk) + 1):
-            first, second, back = _NONE, _NONE, 0
-            for size in range(1, min(self.longest, end) + 1):
-                edge = self._edge(chunk[end - size : end])
+    def _forward(self, chunk: str) -> list[tuple[float, float, int]]:
+        """Forward scores of all prefixes of the chunk, the empty one first."""
+        known = self.forward if len(chunk) <= 64 else {"": self.forward[""]}
+        row, n, score, longest = [], len(chunk), self.score.get, self.longest
+        while len(row) <= n and (found := known.get(chunk[: len(row)])) is not None:
+            row.append(found)
+        for end in range(len(row), n + 1):
+            first, second, back = _NONE, _NONE, 1
+            for start in range(end - 1, max(end - longest, 0) - 1, -1):
+                edge = score(chunk[start:end])
                 if edge is None:
-                    continue
-                a, b, _ = known[chunk[: end - size]]
+                    if end - start > 1:
+                        continue
+                    edge = self._edge(chunk[start:end])
+                a, b, _ = row[start]
                 if a + edge > first:
-                    first, second, back = a + edge, max(first, b + edge), size
+                    second = b + edge if b + edge > first else first
+                    first, back = a + edge, end - start
                 elif a + edge > second:
                     second = a + edge
-            known[chunk[:end]] = (first, second, back)
-
-    def _forward(self, chunk: str) -> dict:
-        known = self.forward if len(chunk) <= 64 else {"": (0.0, _NONE, 0)}
-        self._viterbi(chunk, known)
-        return known
+            found = known[chunk[:end]] = (first, second, back)
+            row.append(found)
+        return row
 
     def _add(self, chunk: str) -> int:
-        known = self._forward(chunk)
-        first, second, _ = known[chunk]
-        parts, end = [], len(chunk)
+        row = self._forward(chunk)
+        first, second, _ = row[-1]
+        parts, end, ids = [], len(chunk), self.ids.get
         while end:
-            back = known[chunk[:end]][2]
-            parts.append(self._spell(chunk[end - back : end]))
-            end -= back
-        self.best.append(b"".join(reversed(parts)))
+            piece = chunk[end - row[end][2] : end]
+            parts.append(ids(piece) or self._spell(piece))
+            end -= len(piece)
+        parts.reverse()
+        self.best.append(b"".join(parts))
         self.scores.append(first)
         self.losses.append(first - second)
-        self.place[chunk] = len(self.place)
-        return self.place[chunk]
+        k = self.place[chunk] = len(self.place)
+        return k
 
     def n_best(self, chunk: str, n: int) -> list[tuple[float, bytes]]:
         """The n best segmentations of a chunk, by A-star from its end."""
-        known = self._forward(chunk)
-        queue = [(-known[chunk][0], b"", len(chunk), 0.0)]
+        row = self._forward(chunk)
+        queue = [(-row[-1][0], b"", len(chunk), 0.0)]
         out: list[tuple[float, bytes]] = []
         while queue and len(out) < n:
             loss, ids, end, behind = heappop(queue)
             if not end:
                 out.append((-loss, ids))
                 continue
-            for size in range(1, min(self.longest, end) + 1):
-                piece = chunk[end - size : end]
+            for start in range(end - 1, max(end - self.longest, 0) - 1, -1):
+                piece = chunk[start:end]
                 edge = self._edge(piece)
                 if edge is not None:
-                    ahead = known[chunk[: end - size]][0]
-                    heappush(queue, (-(behind + edge + ahead), self._spell(piece) + ids, end - size, behind + edge))
+                    heappush(queue, (-(behind + edge + row[start][0]), self._spell(piece) + ids, start, behind + edge))
         return out
 
     def encode(self, text: str, n: int = N_BEST) -> list[tuple[float, bytes]]:
