@@ -30,7 +30,8 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<!\[CDATA\[.*?(?:\]\]>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*?)(/?)>",
+    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*?)(/?)>"
+    r"|</?[a-zA-Z][^>]*\Z",
     re.S,
 )
 _ATTRIBUTE = re.compile(r"\b(class|id|role|aria-label|hidden|style|itemprop)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)

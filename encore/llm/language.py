@@ -51,7 +51,7 @@ def token_slots(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Slots of the n-grams of one to four bytes of the tokens' words, bounds included, and the
     index of each slot's token. A token without a letter has none."""
     low = b"\n".join(tokens).decode("utf-8", "replace").lower()
-    clean = _OTHER.sub(" ", low).replace("\n", " \n ")
+    clean = _OTHER.sub(" ", low).replace(" \n", "\n").replace("\n ", "\n").strip(" ").replace("\n", " \n ")
     b = np.frombuffer(f" {clean} \n\n\n".encode(), np.uint8).astype(np.uint64)
     n = len(b) - 3
     owner = np.cumsum(b[:n] == 10)
