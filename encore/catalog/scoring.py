@@ -17,7 +17,7 @@ _CFG = FeatureConfig(as_of_year=2025)
 
 def _profiles(spark, sf):
     """One profile per item: what its own figures would look like typed into a form."""
-    return tracks(spark, sf).where(F.col("release_year").isNotNull()).select(
+    return tracks(spark, sf).select(
         "mbid", "genre", "release_type", "artist_country",
         F.coalesce("duration_sec", F.lit(200.0)).alias("duration_sec"), "release_year",
         (F.col("genre_match_count") * 5).alias("artist_career_age"), "genre_match_count",
@@ -37,7 +37,7 @@ def _profiles(spark, sf):
         CASE WHEN tempo > 100 THEN tempo END AS tempo,
         ROUND(COALESCE(CASE WHEN tempo > 100 THEN tempo * danceability END, 0.0), 6)
             AS tempo_x_dance
-    FROM tracks WHERE release_year IS NOT NULL""",
+    FROM tracks""",
     T,
 )
 def profile_features(spark, sf):

@@ -2,11 +2,29 @@
 
 from __future__ import annotations
 
-from encore.catalog.base import SCHEMAS, link_corpus, query, tracks
+from pyspark.sql import functions as F
+
+from encore.catalog.base import SCHEMAS, link_corpus, query, table, tracks
 from encore.session import scratch_path
 from encore.streaming.ingest import ingest_new, link_incrementally
 
 
+_FILE_ROWS = 1_000_000
+
+
+def _land(rows, seq, folder):
+    """Two files or more, of bounded size, in order of ``seq`` and one after the other, so that
+    their times follow it."""
+    low, high, n = rows.agg(F.min(seq), F.max(seq), F.count("*")).first()
+    if not n:
+        return
+    files = max(2, -(-n // _FILE_ROWS))
+    cuts = [low + (high + 1 - low) * i // files for i in range(files + 1)]
+    for first, end in zip(cuts, cuts[1:]):
+        own = rows.where((F.col(seq) >= first) & (F.col(seq) < end))
+        own.coalesce(1).write.mode("append").parquet(folder)
+
+
 @query(
     "incremental_ingest",
     """SELECT user_id, event_id, event_type, value FROM (SELECT *, ROW_NUMBER() OVER
@@ -14,10 +32,21 @@ from encore.streaming.ingest import ingest_new, link_incrementally
 )
 def incremental_ingest(spark, sf):
     work = scratch_path(spark, "ingest")
-    out = ingest_new(
-        spark, sf, SCHEMAS["events"], f"{work}/out", f"{work}/state",
-        key="user_id", seq="event_id", name_pattern="events.parquet",
-    )
+    landed = f"{work}/landing"
+
+    def run():
+        return ingest_new(
+            spark, landed, SCHEMAS["events"], f"{work}/out", f"{work}/state",
+            key="user_id", seq="event_id", files_per_batch=1,
+        )
+
+    # Events land in order, in several files; the second half lands after a first run has ended,
+    # and is resumed from its checkpoint.
+    events = table(spark, sf, "events")
+    half = events.agg(F.expr("percentile_approx(event_id, 0.5)")).first()[0] or 0
+    for part in (F.col("event_id") <= half, F.col("event_id") > half):
+        _land(events.where(part), "event_id", landed)
+        out = run()
     return out.select("user_id", "event_id", "event_type", "value")
 
 
@@ -26,8 +55,8 @@ def incremental_link(spark, sf):
     work = scratch_path(spark, "link")
     # The corpus lands as several files, in order, as a crawler would leave it.
     landed = f"{work}/landing"
-    link_corpus(spark, sf).repartitionByRange(4, "seq").write.parquet(landed)
+    _land(link_corpus(spark, sf), "seq", landed)
     schema = "seq bigint, artist string, title string, lyrics string"
     return link_incrementally(
-        spark, landed, schema, tracks(spark, sf), f"{work}/out", f"{work}/state"
+        spark, landed, schema, tracks(spark, sf), f"{work}/out", f"{work}/state", files_per_batch=1
     )

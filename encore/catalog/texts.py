@@ -159,14 +159,14 @@ _RARE = f"""{_COUNTS}, {_FREQ}, x AS (SELECT mbid, word, n, COALESCE(freq, 0) AS
 
 def _rarity(spark, sf):
     freq = terms.word_shares(table(spark, sf, "conversations"))
-    return terms.rarity(terms.word_counts(_tokens(spark, sf)), freq, below=0.0005)
+    return terms.rarity(terms.word_counts(_tokens(spark, sf)), freq)
 
 
 @query(
     "rarity_features",
-    f"""{_RARE} SELECT mbid, CAST(SUM(CASE WHEN f < 0.0005 THEN n ELSE 0 END) AS BIGINT)
+    f"""{_RARE} SELECT mbid, CAST(SUM(CASE WHEN f < 0.00001 THEN n ELSE 0 END) AS BIGINT)
             AS rare_word_count,
-        ROUND(SUM(CASE WHEN f < 0.0005 THEN n ELSE 0 END) / SUM(n), 4) AS rare_word_ratio
+        ROUND(SUM(CASE WHEN f < 0.00001 THEN n ELSE 0 END) / SUM(n), 4) AS rare_word_ratio
     FROM x GROUP BY mbid""",
 )
 def rarity_features(spark, sf):
@@ -176,7 +176,7 @@ def rarity_features(spark, sf):
 @query(
     "rarest_words",
     f"""{_RARE}, r AS (SELECT mbid, word, ROW_NUMBER() OVER (PARTITION BY mbid ORDER BY f, word) AS r
-        FROM x WHERE f < 0.0005)
+        FROM x WHERE f < 0.00001)
     SELECT mbid, string_agg(word, '; ' ORDER BY r) AS rarest_words FROM r WHERE r <= 10
     GROUP BY mbid""",
 )
@@ -312,7 +312,7 @@ def doc_term_counts(spark, sf):
 
 @query("lda_topics")
 def lda_topics(spark, sf):
-    weights, _ = terms.fit_topics(texts(spark, sf), topics=8, iterations=5)
+    weights, _ = terms.fit_topics(texts(spark, sf), topics=8)
     return weights
 
 

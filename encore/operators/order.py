@@ -60,13 +60,14 @@ def group_quantiles(
     out: str = "q",
     method: str = "linear",
     ranges: int = ORDER_RANGES,
+    few: bool = False,
 ) -> DataFrame:
     """Exact quantiles per group: columns ``by``, ``n`` (non-null values) and array ``out``.
 
     ``linear`` interpolates between neighbours, ``nearest`` takes the closest rank, ``closing``
     the last of the first floor(share * n) values (null when that is none; a group without any
     is left out), and ``approx`` uses Spark's sketch in one pass. With no ``by`` the result is
-    one row (none when empty).
+    one row (none when empty). ``few`` says that the groups are a fixed, small number.
     """
     by = list(by)
     rows = df.select(*by, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
@@ -107,6 +108,9 @@ def group_quantiles(
         "_below",
         "n",
     )
+    # A group has two wanted ranges a share at most. Without groups that is a bounded few rows;
+    # with them, staging lets Spark plan the join from their measured size.
+    wanted = stage_table(wanted, "wanted") if by and not few else F.broadcast(wanted)
     same = F.col("_r") == F.col("_kr")
     for i, k in enumerate(by):
         same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
@@ -149,7 +153,7 @@ def column_quantiles(
     long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
         [], list(columns), "column", "_value"
     )
-    return group_quantiles(long, "_value", shares, ["column"], out, **kw)
+    return group_quantiles(long, "_value", shares, ["column"], out, few=True, **kw)
 
 
 def scalar_quantile(df: DataFrame, value: str, share: float, **kw) -> Column:
@@ -209,7 +213,8 @@ def with_codes(
     """Add a 0-based code per column: the value's place among its sorted distinct values.
 
     All level lists come from one pass and are staged, so Spark picks each join from their
-    measured size; only distinct levels are ever sorted together.
+    measured size. Levels are dealt by range and numbered within their part, with the parts'
+    sizes added, so no column's levels meet in one task.
     """
     if filler is not None:
         df = df.withColumns(
@@ -220,9 +225,25 @@ def with_codes(
         .unpivot([], list(columns), "_column", "_level")
         .where(F.col("_level").isNotNull())
         .distinct()
-        .withColumn("_code", F.row_number().over(W.partitionBy("_column").orderBy("_level")) - 1)
     )
-    levels = stage_table(levels, "levels")
+    # Written with their part, which a recomputed task therefore can't change.
+    dealt = levels.repartitionByRange("_column", "_level").withColumn("_part", F.spark_partition_id())
+    dealt = stage_table(dealt, "level-parts")
+    before = W.partitionBy("_column").orderBy("_part").rowsBetween(*_BEFORE)
+    sizes = dealt.groupBy("_column", "_part").agg(F.count("*").alias("_c"))
+    offsets = sizes.select(
+        F.col("_column").alias("_oc"),
+        F.col("_part").alias("_op"),
+        F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_ahead"),
+    )
+    inside = W.partitionBy("_column", "_part").orderBy("_level")
+    # As many offsets as shuffle partitions hold parts of columns.
+    levels = dealt.withColumn("_in", F.row_number().over(inside) - 1).join(
+        F.broadcast(offsets), (F.col("_column") == F.col("_oc")) & (F.col("_part") == F.col("_op"))
+    )
+    levels = stage_table(
+        levels.select("_column", "_level", (F.col("_ahead") + F.col("_in")).alias("_code")), "levels"
+    )
     for c in columns:
         codes = levels.where(F.col("_column") == c).select(
             F.col("_level").alias(f"_{c}"), F.col("_code").cast("int").alias(f"{c}{suffix}")

@@ -17,6 +17,7 @@ from encore.config import (
 )
 from encore.functions import bin_label
 from encore.operators.order import group_median
+from encore.session import stage_table
 
 
 def _mean(column: str | Column, digits: int) -> Column:
@@ -276,6 +277,7 @@ def item_vs_group(
 ) -> DataFrame:
     """Each row beside the median of its group and the gap between the two."""
     medians = group_median(df, log, [group], "group_median").withColumnRenamed(group, "_g")
+    medians = stage_table(medians, "group-medians")  # of measured size when the join is planned
     return df.join(medians, F.col(group).eqNullSafe(F.col("_g")), "left").select(
         key, group, log, "group_median", (F.col(log) - F.col("group_median")).alias("gap")
     )

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from encore.config import CORPUS_STOP_WORDS, PROFILE_STOP_WORDS, RARE_WORD_SHARE, TARGET
 from encore.functions import adjacent_pairs, non_blank_lines, strip_whitespace, word_list
 from encore.operators.order import group_quantiles, top_per_group
-from encore.session import spread, stage_table
+from encore.session import stage_table
 
 _RAW_SPLIT = r"(?U)[\s\x1c-\x1f]+"
 
@@ -30,16 +30,19 @@ def tokens(
     texts: DataFrame, key: str = "mbid", text: str = "text", stop_words=CORPUS_STOP_WORDS
 ) -> DataFrame:
     """``(mbid, words)``."""
-    rows = spread(texts.select(key, text), key)
-    return rows.select(key, word_list(F.col(text), stop_words).alias("words"))
+    return texts.select(key, word_list(F.col(text), stop_words).alias("words"))
 
 
 def word_counts(tokenised: DataFrame, key: str = "mbid", pairs: bool = False) -> DataFrame:
-    """``(mbid, word, n, first_pos)`` per distinct word (or adjacent pair) of each text."""
+    """``(mbid, word, n, first_pos)`` per distinct word (or adjacent pair) of each text.
+
+    Word lists are dealt by text once, before they are exploded: the counts here and what is
+    ranked per text afterwards share that exchange.
+    """
     items = adjacent_pairs(F.col("words")) if pairs else F.col("words")
     # The outer form keeps the optimizer from testing the list, and so building it, twice.
     return (
-        tokenised.select(key, F.posexplode_outer(items).alias("pos", "word"))
+        tokenised.select(key, "words").repartition(key).select(key, F.posexplode_outer(items).alias("pos", "word"))
         .where(F.col("word").isNotNull())
         .groupBy(key, "word")
         .agg(F.count("*").alias("n"), F.min("pos").alias("first_pos"))
@@ -109,7 +112,7 @@ def with_parts(
 ) -> DataFrame:
     """The text split once: ``words``, non-blank ``lines`` and its ``shape``. Features read these
     columns, so no split is repeated."""
-    return spread(texts.select(key, text), key).select(
+    return texts.select(
         key,
         text,
         word_list(F.col(text), stop_words).alias("words"),
@@ -127,19 +130,19 @@ def sentiment(
     one and each unscored word by one.
     """
     bare = F.regexp_replace(F.lower(text), r"(?U)[^\w\s']", "")
-    rows = spread(texts.select(key, text), key)
-    found = rows.select(key, F.explode_outer(raw_words(bare)).alias("word"))
+    found = texts.select(key, F.explode_outer(raw_words(bare)).alias("word"))
+    # Staged, so that Spark plans from the lexicon's measured size. Where it is small the words
+    # stay in their task and combine to one row a text before the exchange.
+    scored = stage_table(lexicon.select("word", "valence"), "lexicon")
     v = F.coalesce(F.col("valence"), F.lit(0.0))
     sums = (
-        found.groupBy(key, "word")
-        .agg(F.count("word").alias("n"))
-        .join(lexicon.select("word", "valence"), "word", "left")
+        found.join(scored, "word", "left")
         .groupBy(key)
         .agg(
-            F.sum(v * F.col("n")).alias("s"),
-            F.sum(F.when(v > 0, (v + 1) * F.col("n")).otherwise(0.0)).alias("p"),
-            F.sum(F.when(v < 0, (1 - v) * F.col("n")).otherwise(0.0)).alias("m"),
-            F.sum(F.when(v == 0, F.col("n")).otherwise(0)).alias("z"),
+            F.sum(v).alias("s"),
+            F.sum(F.when(v > 0, v + 1).otherwise(0.0)).alias("p"),
+            F.sum(F.when(v < 0, 1 - v).otherwise(0.0)).alias("m"),
+            F.count_if((v == 0) & F.col("word").isNotNull()).alias("z"),
         )
     )
     mass = F.nullif(F.col("p") + F.col("m") + F.col("z"), F.lit(0.0))
@@ -176,6 +179,9 @@ def rarity(
     ``freq`` holds shares of one language, so at most 1 / ``below`` words are not rare: that
     bounded list is what gets broadcast. Only rare words then meet the full table.
     """
+    total = freq.agg(F.sum("freq")).first()[0] or 0.0
+    if total > 1.001:
+        raise ValueError(f"the shares of one language can't add up to {total}")
     common = freq.where(F.col("freq") >= below).select("word", F.lit(True).alias("_common"))
     flagged = counts.join(F.broadcast(common), "word", "left")
     totals = flagged.groupBy(key).agg(
@@ -219,11 +225,13 @@ def top_list(counts: DataFrame, n: int, out: str, key: str = "mbid") -> DataFram
 
 
 def text_features(
-    texts: DataFrame, lexicon: DataFrame, freq: DataFrame, key: str = "mbid", text: str = "text"
+    texts: DataFrame, lexicon: DataFrame, freq: DataFrame, key: str = "mbid", text: str = "text",
+    parts: DataFrame | None = None,
 ) -> DataFrame:
-    """The full feature row per text."""
+    """The full feature row per text. ``parts`` has the split texts if they are staged already."""
     words = F.col("words")
-    parts = stage_table(with_parts(texts, key, text).drop(text), "text-parts")
+    if parts is None:
+        parts = stage_table(with_parts(texts, key, text).drop(text), "text-parts")
     within = parts.select(
         key,
         *[
@@ -272,8 +280,10 @@ def contrast(
     key: str = "mbid",
     text: str = "text",
     target: str = TARGET,
+    tokenised: DataFrame | None = None,
 ) -> DataFrame:
     """How word (or pair) use differs between texts of the top and bottom target quartile.
+    ``tokenised`` has the texts' words if they are split already.
 
     Cuts come from every target, also those without a text. Candidates are each side's most
     frequent terms, ties by term.
@@ -286,7 +296,7 @@ def contrast(
     )
     words = F.col("words")
     terms = (
-        tokens(texts, key, text)
+        (tokens(texts, key, text) if tokenised is None else tokenised.select(key, "words"))
         .join(sided, key)
         .select("side", F.explode_outer(adjacent_pairs(words) if pairs else words).alias("word"))
         .where(F.col("word").isNotNull())
@@ -399,16 +409,22 @@ def fit_topics(
     key: str = "mbid",
     text: str = "text",
     seed: int = 42,
+    tokenised: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Online LDA. Returns topic weights per text with the dominant topic, and the top words
+    """Online LDA over the vocabulary of ``doc_term_counts``. Returns topic weights per text with the dominant topic, and the top words
     ``(topic, position, word, weight)``."""
     spark = texts.sparkSession
-    bag = tokens(texts, key, text).persist()
-    vectoriser = CountVectorizer(
-        inputCol="words", outputCol="features", vocabSize=vocab_size, minDF=min_texts,
-        maxDF=max_share,
-    ).fit(bag)
-    rows = vectoriser.transform(bag).select(key, "features").persist()
+    bag = tokenised
+    if bag is None:
+        bag = stage_table(tokens(texts, key, text), "topic-words")
+    n = bag.agg(F.count("*").alias("x")).scalar()
+    chosen = vocabulary(word_counts(bag, key), n, vocab_size, min_texts, max_share)
+    # At most vocab_size words. A model needs one at least.
+    listed_words = [r.word for r in chosen.orderBy(F.desc("total"), "word").collect()] or [""]
+    vectoriser = CountVectorizerModel.from_vocabulary(
+        listed_words, inputCol="words", outputCol="features"
+    )
+    rows = stage_table(vectoriser.transform(bag).select(key, "features"), "topic-counts")
     model = LDA(k=topics, maxIter=iterations, optimizer="online", seed=seed).fit(rows)
     w = F.col("_w")
     weights = (
@@ -429,7 +445,6 @@ def fit_topics(
     words = listed.join(vocab, F.col("t.termIndices") == F.col("term")).select(
         "topic", "position", "word", F.col("t.termWeights").alias("weight")
     )
-    bag.unpersist()
     return weights, words
 
 

@@ -10,6 +10,7 @@ from encore.config import AUDIO_SIGNALS, DEFAULT_FEATURES, TARGET, FeatureConfig
 from encore.functions import null_column
 from encore.operators.order import group_median
 from encore.operators.stats import share_at_or_below
+from encore.session import stage_table
 
 
 def back_transform(prediction: Column) -> Column:
@@ -54,6 +55,7 @@ def explain_scores(
     medians = group_median(reference, target, [category], "category_median").withColumnRenamed(
         category, "_c"
     )
+    medians = stage_table(medians, "category-medians")  # of measured size when the join is planned
     return ranked.join(medians, F.col(category).eqNullSafe(F.col("_c")), "left").drop("_c").withColumn(
         "predicted_repeats", back_transform(F.col(prediction))
     )

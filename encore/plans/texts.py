@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from encore.config import TARGET
 from encore.operators.linking import link_texts
 from encore.operators.order import keep_first
-from encore.operators.terms import contrast, fit_topics, text_features
+from encore.operators.terms import contrast, fit_topics, text_features, with_parts
 from encore.session import stage_table
 
 
@@ -47,14 +47,17 @@ def study(
 ) -> TextStudy:
     """Everything derived from linked texts; the linked texts are staged once."""
     texts = stage_table(link_texts(corpus, items), "linked-texts").select("mbid", "text")
-    features = text_features(texts, lexicon, freq)
-    weights, words = fit_topics(texts, topics)
+    # Split once; features, topics and both contrasts read the staged words.
+    parts = stage_table(with_parts(texts).drop("text"), "text-parts")
+    tokenised = parts.select("mbid", "words")
+    features = stage_table(text_features(texts, lexicon, freq, parts=parts), "text-features")
+    weights, words = fit_topics(texts, topics, tokenised=tokenised)
     return TextStudy(
         texts,
         features,
         features_with_target(features, items),
-        contrast(texts, items),
-        contrast(texts, items, pairs=True, top_n=150, min_total=3),
+        contrast(texts, items, tokenised=tokenised),
+        contrast(texts, items, pairs=True, top_n=150, min_total=3, tokenised=tokenised),
         weights,
         words,
     )

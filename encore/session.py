@@ -27,7 +27,8 @@ def build_session(master: str | None = None, app_name: str = "encore", **conf: s
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only for local sessions."""
+    """The folder named by ``spark.checkpoint.dir``. A local session without that setting gets a
+    folder of its own; on a cluster the setting is needed."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
@@ -41,19 +42,28 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+#: Folders of staged tables, by application and shared folder.
+_FOLDERS: dict[tuple[str, str], str] = {}
+
 
+def staging_dir(spark: SparkSession) -> str:
+    """This application's folder below the shared one; it goes when the application ends."""
+    top = shared_dir(spark).rstrip("/")
+    at = (spark.sparkContext.applicationId, top)
+    if at not in _FOLDERS:
+        folder = f"{top}/encore-{at[0]}-{uuid.uuid4().hex[:8]}"
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _FOLDERS[at] = folder
+    return _FOLDERS[at]
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash rows over the cores when the input has fewer splits than cores.
 
-    Meant for CPU-heavy work straight after a scan. A large input has many splits and is left
-    alone, so no text is ever shuffled for this at scale.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the application's staging folder."""
+    return f"{staging_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:

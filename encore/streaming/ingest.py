@@ -38,12 +38,11 @@ def _run(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint:
 
 def _done(spark: SparkSession, out: str, schema: str, before: int) -> DataFrame:
     """Rows of earlier batches; a batch never sees its own half-written output."""
-    try:
-        return spark.read.schema(f"{schema}, batch bigint").parquet(out).where(F.col("batch") < before)
-    except Exception as problem:  # nothing written yet
-        if "PATH_NOT_FOUND" not in str(problem):
-            raise
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(out)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(path):  # nothing written yet
         return spark.createDataFrame([], f"{schema}, batch bigint")
+    return spark.read.schema(f"{schema}, batch bigint").parquet(out).where(F.col("batch") < before)
 
 
 def _write_batch(rows: DataFrame, batch: int, out: str) -> None:

@@ -6,10 +6,11 @@ from conftest import SMALL
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check import TABLES, rows_of, same_type
+from encore.catalog import ORACLES, QUERIES
 
 # Queries without SQL train models or compare strings beyond SQL; the rest must all be covered.
 ROWS_ONLY = {
-    "pca_summary", "fit_linear", "fit_forest", "fit_gbt", "tune_gbt", "importance_table",
+    "pca_summary", "fit_linear", "fit_forest", "fit_gbt", "model_results", "importance_table",
     "importance_top", "prediction_table", "imbalance", "feature_set_ablation", "score_profiles",
     "link_fuzzy", "link_texts", "token_sort_ratio", "incremental_link", "text_features",
     "lda_topics",
@@ -25,7 +26,8 @@ def sql():
 
 
 def test_registry():
-    assert set(oracle_sql()) | ROWS_ONLY == set(queries())
+    assert set(ORACLES) | ROWS_ONLY == set(QUERIES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
 def test_entry(spark):
@@ -34,7 +36,7 @@ def test_entry(spark):
     assert df.columns == ["genre", "n_tracks", "avg_repeats", "median_repeats", "avg_log_repeats"]
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, sql, name):
     df = queries()[name](spark, SMALL)
     got = rows_of(df.columns, [tuple(r) for r in df.collect()])
