@@ -12,6 +12,7 @@ from encore.catalog import (  # noqa: F401
     sources,
     statistics,
     streams,
+    studies,
     texts,
 )
 from encore.catalog.base import ORACLES, QUERIES  # noqa: F401

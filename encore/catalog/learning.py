@@ -13,12 +13,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from encore.catalog.base import docs, query, state_of, texts, tracks
+from encore.catalog.base import query, state_of, tracks
 from encore.config import FeatureConfig
 from encore.learning import metrics, models, prepare, splits
 from encore.operators.profile import coverage, existing
 from encore.operators.stats import high_label
-from encore.operators.terms import lexical_features, line_features, with_parts
 from encore.session import stage_table
 
 T = ("tracks",)
@@ -315,8 +314,7 @@ def prediction_table(spark, sf):
     return models.prediction_table(fits, test)
 
 
-@query("imbalance")
-def imbalance(spark, sf):
+def _imbalance(spark, sf):
     rows = high_label(tracks(spark, sf)).withColumn(
         "is_high_replay", F.col("is_high_replay").cast("int")
     )
@@ -332,15 +330,6 @@ def imbalance(spark, sf):
     )
 
 
-@query("feature_set_ablation")
-def feature_set_ablation(spark, sf):
-    cells = {**lexical_features(F.col("words")), **line_features(F.col("lines"))}
-    features = with_parts(texts(spark, sf)).select("mbid", *[c.alias(n) for n, c in cells.items()])
-    target = docs(spark, sf).select("mbid", "log_repeat_listens", "quality", "toxic")
-    rows = features.join(target, "mbid")
-    staged = stage_table(splits.with_holdout(rows, "mbid"), "text-frame")
-    lyric = list(cells)
-    meta = ["quality", "toxic"]
-    return models.feature_set_ablation(
-        staged, {"Lyrics Only": lyric, "Metadata Only": meta, "Lyrics + Metadata": lyric + meta}
-    )
+@query("imbalance")
+def imbalance(spark, sf):
+    return _imbalance(spark, sf)

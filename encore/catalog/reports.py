@@ -186,37 +186,37 @@ def leaderboard(spark, sf):
     "catalog_topk",
     """SELECT mbid, title, artist_name, genre, repeat_listens, title || ' — ' || artist_name AS label
     FROM tracks WHERE title IS NOT NULL AND artist_name IS NOT NULL
-    ORDER BY log_repeat_listens DESC NULLS LAST, mbid LIMIT 10000""",
+    ORDER BY log_repeat_listens DESC NULLS LAST, mbid LIMIT 500""",
     T,
 )
 def catalog_topk(spark, sf):
     cols = ["mbid", "title", "artist_name", "genre", "repeat_listens", "log_repeat_listens"]
-    return rollups.catalog(tracks(spark, sf).select(*cols)).drop("log_repeat_listens")
+    return rollups.catalog(tracks(spark, sf).select(*cols), 500).drop("log_repeat_listens")
 
 
 @query(
     "catalog_search",
     """WITH c AS (SELECT mbid, title || ' — ' || artist_name AS label FROM tracks
         WHERE title IS NOT NULL AND artist_name IS NOT NULL
-        ORDER BY log_repeat_listens DESC NULLS LAST, mbid LIMIT 10000)
+        ORDER BY log_repeat_listens DESC NULLS LAST, mbid LIMIT 500)
     SELECT mbid, label FROM c WHERE contains(lower(label), lower('Red W'))""",
     T,
 )
 def catalog_search(spark, sf):
     cols = ["mbid", "title", "artist_name", "log_repeat_listens"]
-    listed = rollups.catalog(tracks(spark, sf).select(*cols))
+    listed = rollups.catalog(tracks(spark, sf).select(*cols), 500)
     return rollups.search_catalog(listed, "Red W").select("mbid", "label")
 
 
 @query(
     "fixed_sample",
     """SELECT mbid, duration_sec, log_repeat_listens FROM tracks WHERE duration_sec IS NOT NULL
-    ORDER BY md5(CAST(mbid AS VARCHAR) || ':42'), mbid LIMIT 2500""",
+    ORDER BY md5(CAST(mbid AS VARCHAR) || ':42'), mbid LIMIT 800""",
     T,
 )
 def fixed_sample(spark, sf):
     rows = tracks(spark, sf).select("mbid", "duration_sec", "log_repeat_listens")
-    return order.fixed_sample(rows.na.drop(subset=["duration_sec"]), "mbid", 2500)
+    return order.fixed_sample(rows.na.drop(subset=["duration_sec"]), "mbid", 800)
 
 
 @query(

@@ -13,7 +13,7 @@ ROWS_ONLY = {
     "pca_summary", "fit_linear", "fit_forest", "fit_gbt", "model_results", "importance_table",
     "importance_top", "prediction_table", "imbalance", "feature_set_ablation", "score_profiles",
     "link_fuzzy", "link_texts", "token_sort_ratio", "incremental_link", "text_features",
-    "lda_topics",
+    "lda_topics", "model_report", "text_report",
 }
 
 
