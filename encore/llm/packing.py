@@ -15,6 +15,7 @@ and piece. Other columns are not read.
 
 from __future__ import annotations
 
+import os
 import zlib
 from bisect import bisect_left, insort
 
@@ -40,26 +41,49 @@ class WordTokens:
     lower case, as the vocabulary folds case itself.
     """
 
-    LIMIT = 400_000
+    LIMIT = 500_000
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks use the cores
         from tokenizers import Tokenizer
 
         self.encoder = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        vocabulary = self.encoder.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def _ids(self, words: list[bytes]) -> list[bytes]:
-        encoded = self.encoder.encode_batch_fast(
-            [w.decode("utf-8", "replace") for w in words], add_special_tokens=False
-        )
-        return [np.array(e.ids, "<u4").tobytes() for e in encoded]
+        """Ids of each word. Words of letters end with their only end-of-word token, so they are
+        encoded as one text and cut there; the others one by one."""
+        if not words:
+            return []
+        texts = [w.decode("utf-8", "replace") for w in words]
+        plain = [k for k, t in enumerate(texts) if t.isalpha()]
+        out: list[bytes] = [b""] * len(words)
+        ids = np.array(self._encode(" ".join(texts[k] for k in plain)), "<u4")
+        cuts = np.flatnonzero(self.ends[ids]) + 1
+        if len(cuts) == len(plain):
+            whole, first = ids.tobytes(), 0
+            for k, end in zip(plain, (4 * cuts).tolist()):
+                out[k] = whole[first:end]
+                first = end
+            rest = set(range(len(words))) - set(plain)
+        else:  # a letter whose lower case isn't one letter
+            rest = range(len(words))
+        for k in rest:
+            out[k] = np.array(self._encode(texts[k]), "<u4").tobytes()
+        return out
+
+    def _encode(self, text: str) -> list[int]:
+        return self.encoder.encode(text, add_special_tokens=False).ids
 
     def _learn(self, fresh: set[bytes]) -> None:
         known = self.known
         # A full stop or comma after an ASCII letter or digit is a token of its own.
         ends = {w for w in fresh if len(w) > 1 and w[-1:] in (b".", b",") and w[:-1].isalnum()}
-        bare = ({w[:-1] for w in ends} | {w[-1:] for w in ends} | (fresh - ends)) - known.keys()
-        words = list(bare)
+        bare = {w[:-1] for w in ends} | {w[-1:] for w in ends} | (fresh - ends)
+        words = [w for w in bare if w not in known]
         known.update(zip(words, self._ids(words)))
         for w in ends:
             known[w] = known[w[:-1]] + known[w[-1:]]
@@ -67,15 +91,14 @@ class WordTokens:
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text, little-endian and unsigned in 32 bits."""
         out = []
-        for first in range(0, len(texts), 128):
-            split = [self._split(t) for t in texts[first : first + 128]]
-            fresh = set().union(*split)
+        for first in range(0, len(texts), 32):
+            split = [self._split(t) for t in texts[first : first + 32]]
             if len(self.known) > self.LIMIT:
                 self.known = {}
-            fresh -= self.known.keys()
+            get = self.known.get
+            fresh = {w for words in split for w, ids in zip(words, map(get, words)) if ids is None}
             if fresh:
                 self._learn(fresh)
-            get = self.known.__getitem__
             out += [b"".join(map(get, words)) for words in split]
         return out
 
