@@ -9,13 +9,14 @@ TARGET = "log_repeat_listens"
 LABEL = "is_high_replay"
 UNKNOWN = "Unknown"
 
+# Column names and groups (fixed values).
 AUDIO_SIGNALS = ("tempo", "danceability", "loudness", "dynamic_complexity")
 AUDIO_LABELS = ("key", "key_scale")
 
 
 @dataclass(frozen=True)
 class FeatureConfig:
-    """Which columns play which role, and the cut-offs used on them."""
+    """Which columns play which role, and the cut-offs used on them (fixed values)."""
 
     numeric: tuple[str, ...] = (
         "duration_sec",

@@ -29,7 +29,7 @@ def match_key(text: Column) -> Column:
 
 
 def clean_text(text: Column) -> Column:
-    """Drop bracketed headers and the usual scraping leftovers."""
+    """Drop bracketed headers and the usual scraping leftovers (patterns are fixed values)."""
     for pattern in (
         r"(?d)\[.*?\]",
         r"(?idU)\d+\s+Contributors?.*",

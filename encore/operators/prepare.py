@@ -11,6 +11,7 @@ from encore.config import AUDIO_LABELS, AUDIO_SIGNALS, DEFAULT_FEATURES, RAW_TAR
 from encore.config import FeatureConfig
 from encore.functions import clip_keep_null, gate_range, lenient, null_column
 
+# What a record is known by, in the output's order (fixed values).
 FIRST_ATTRIBUTES = (
     "title",
     "duration_ms",
@@ -120,6 +121,7 @@ def with_interactions(df: DataFrame) -> DataFrame:
     )
 
 
+# Column order of the processed table (fixed values).
 CANONICAL_ORDER = (
     "mbid", "title", "artist_name", "genre", "genre_tags_text", "genre_match_count",
     "release_type", "release_year", "release_decade", "artist_type", "artist_country",
