@@ -94,12 +94,27 @@ def as_array(values, kind: pa.DataType) -> pa.Array:
     return values.cast(kind) if isinstance(values, pa.Array) else pa.array(values, kind)
 
 
+def sparse_rows(
+    table: pa.Table, at: str, value: str, *keys: str
+) -> tuple[list[tuple[np.ndarray, np.ndarray]], list[tuple]]:
+    """The pairs of lists of two columns, as views of the table, and the keys beside them; in the
+    order of the keys."""
+    rows = []
+    for batch in table.to_batches():
+        bounds = batch.column(at).offsets.to_numpy()
+        flat = [batch.column(n).values.to_numpy(zero_copy_only=False) for n in (at, value)]
+        rows += [tuple(f[a:b] for f in flat) for a, b in zip(bounds, bounds[1:])]
+    beside = list(zip(*[table.column(k).to_pylist() for k in keys]))
+    order = sorted(range(len(rows)), key=beside.__getitem__)
+    return [rows[i] for i in order], [beside[i] for i in order]
+
+
 #: Arrow types of the column types in use here.
 _KINDS = {
     "bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(),
     "string": pa.string(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32()),
     "array<bigint>": pa.list_(pa.int64()), "array<double>": pa.list_(pa.float64()),
-    "array<string>": pa.list_(pa.string()),
+    "array<string>": pa.list_(pa.string()), "array<float>": pa.list_(pa.float32()),
 }
 
 

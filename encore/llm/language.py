@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.llm.base import bounded, fold, map_batches, query, ship, sigmoid, table, utf8
+from encore.llm.base import bounded, fold, map_batches, query, ship, sigmoid, sparse_rows, table, utf8
 
 UNKNOWN = "und"
 #: Family of each language code; others stand alone.
@@ -35,7 +35,7 @@ FAMILIES = {
     "cs": "slavic", "sk": "slavic", "bg": "slavic", "sr": "slavic", "hr": "slavic",
 }
 #: Bound of the training sample: so many texts of each language.
-TEXTS_PER_LANGUAGE = 600
+TEXTS_PER_LANGUAGE = 200
 #: Bound of what one training text brings to the driver: its hashed features, of so many slots.
 SLOT_BITS = 14
 SLOTS = 1 << SLOT_BITS
@@ -236,9 +236,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                 "at": [a for a, _ in found], "v": [v for _, v in found]}
 
     own = own.select("doc_id", "lang", utf8("body").alias("body"))
-    got = map_batches(own, run, "doc_id bigint, lang string, at array<bigint>, v array<double>").toPandas()
-    got = got.sort_values(["doc_id", "lang"], kind="stable")
-    return fit_model(list(zip(got["at"].map(np.asarray), got["v"].map(np.asarray))), list(got["lang"]))
+    got = map_batches(own, run, "doc_id bigint, lang string, at array<int>, v array<float>").toArrow()
+    rows, keys = sparse_rows(got, "at", "v", "doc_id", "lang")
+    return fit_model(rows, [lang for _, lang in keys])
 
 
 def _predictor(model: Model, spark: SparkSession):

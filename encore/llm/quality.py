@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.llm.base import Memo, bounded, fold, map_batches, query, sigmoid, table, utf8
+from encore.llm.base import Memo, bounded, fold, map_batches, query, sigmoid, sparse_rows, table, utf8
 
 #: Bound of the training sample: so many labelled rows of each class.
 ROWS_PER_CLASS = 2_000
@@ -128,10 +128,9 @@ def train(docs: DataFrame, labels: DataFrame) -> np.ndarray:
 
     # Twice ROWS_PER_CLASS ids at most, so the broadcast is bounded.
     own = texts.join(F.broadcast(picked), "doc_id").select("doc_id", "y", "body")
-    got = map_batches(own, run, "doc_id bigint, y int, at array<int>, x array<double>").toPandas()
-    got = got.sort_values(["doc_id", "y"], kind="stable")
-    rows = [(np.asarray(a, np.int64), np.asarray(x)) for a, x in zip(got["at"], got["x"])]
-    return fit_weights(rows, got["y"].to_numpy(np.int64))
+    got = map_batches(own, run, "doc_id bigint, y int, at array<int>, x array<float>").toArrow()
+    rows, keys = sparse_rows(got, "at", "x", "doc_id", "y")
+    return fit_weights(rows, np.array([y for _, y in keys], np.int64))
 
 
 _MEMOS: dict[str, tuple[Memo, np.ndarray]] = {}
