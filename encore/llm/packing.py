@@ -30,6 +30,9 @@ CAPACITY = 4096
 END_ID = 1
 VOCABULARY = "word_bpe_49k.json"
 
+#: ASCII signs but for the apostrophe, which contractions hold.
+SIGNS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
@@ -41,7 +44,7 @@ class WordTokens:
     lower case, as the vocabulary folds case itself.
     """
 
-    LIMIT = 500_000
+    LIMIT = 1_000_000
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks use the cores
@@ -79,14 +82,22 @@ class WordTokens:
         return self.encoder.encode(text, add_special_tokens=False).ids
 
     def _learn(self, fresh: set[bytes]) -> None:
-        known = self.known
-        # A full stop or comma after an ASCII letter or digit is a token of its own.
-        ends = {w for w in fresh if len(w) > 1 and w[-1:] in (b".", b",") and w[:-1].isalnum()}
-        bare = {w[:-1] for w in ends} | {w[-1:] for w in ends} | (fresh - ends)
+        """Encode new words. ASCII signs after letters are a token run of their own, so such words
+        are put together from both."""
+        known, ends, bare = self.known, [], set()
+        for w in fresh:
+            head = w.rstrip(SIGNS)
+            if head and len(head) < len(w) and (head.isalpha() or head.decode("utf-8", "replace").isalpha()):
+                tail = w[len(head) :]
+                ends.append((w, head, tail))
+                bare.add(head)
+                bare.add(tail)
+            else:
+                bare.add(w)
         words = [w for w in bare if w not in known]
         known.update(zip(words, self._ids(words)))
-        for w in ends:
-            known[w] = known[w[:-1]] + known[w[-1:]]
+        for w, head, tail in ends:
+            known[w] = known[head] + known[tail]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text, little-endian and unsigned in 32 bits."""
