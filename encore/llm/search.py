@@ -31,10 +31,10 @@ from encore.session import stage_table
 TOP = 20
 SCALE = 64.0
 QUERY_EVERY = 20
-PIVOTS = 24
+PIVOTS = 16
 #: Vectors that pivots are chosen from, and vectors in a block of queries or of candidates.
 PIVOT_SAMPLE, QUERY_BLOCK, BLOCK = 512, 1 << 10, 1 << 13
-#: Candidates evaluated at a time.
+#: Candidates evaluated first; then eight times as many at a time.
 STEP = 256
 
 BLOCKS = "dim int, block int, ids binary, vectors binary, table binary"
@@ -67,44 +67,53 @@ def pivot_table(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     """Distances to the pivots, a row for each pivot, and the norms as the last row."""
     x = x.astype(float)
     away = [np.sqrt(((x - p) ** 2).sum(1)) for p in pivots]
-    return np.stack([*away, np.sqrt((x**2).sum(1))])
+    return np.stack([*away, np.sqrt((x**2).sum(1))]).astype(np.float32)
 
 
-def _exact(rows: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Integer inner products; in floating point only where that is exact."""
-    most = float(np.abs(rows).max(initial=0)) * float(np.abs(q).max(initial=0)) * max(1, len(q))
-    if most < 2**53:
-        return (rows.astype(float) @ q.astype(float)).astype(np.int64)
-    return np.array([sum(int(a) * int(b) for a, b in zip(r, q)) for r in rows], object)
+def exact_type(q: np.ndarray, x: np.ndarray) -> type:
+    """The fastest type in which the inner products are exact."""
+    most = float(np.abs(x).max(initial=0)) * float(np.abs(q).max(initial=0)) * max(1, q.shape[-1])
+    return np.float32 if most < 2**24 else np.float64 if most < 2**53 else object
+
+
+def upper_bounds(q_row: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """What no candidate's score can exceed, from the pivot table; rounding is allowed for."""
+    apart = np.abs(rows[:-1] - q_row[:-1, None]).max(0) if len(rows) > 1 else np.float32(0)
+    norms = rows[-1] ** 2 + q_row[-1] ** 2
+    most = (norms - apart**2) / 2 + np.float32(1e-5) * norms + 1
+    return np.where(np.isnan(most), np.inf, most)
 
 
 def top_of_block(
     q: np.ndarray, q_id: int, q_row: np.ndarray, x: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int = TOP
 ) -> list[tuple[int, int]]:
-    """(score, id) of the query's k best candidates in the block; rows are the pivot table."""
-    apart = np.abs(rows[:-1] - q_row[:-1, None]).max(0) if len(rows) > 1 else np.zeros(len(ids))
-    most = (rows[-1] ** 2 + q_row[-1] ** 2 - apart**2) / 2
-    most += 1e-6 + 1e-9 * (rows[-1] ** 2 + q_row[-1] ** 2)  # beyond what rounding can take
-    most[ids == q_id] = -np.inf
-    best: list[tuple[int, int]] = []
-    reach = min(len(ids), 8 * STEP)
-    order = np.argpartition(-most, reach - 1)[:reach] if reach < len(ids) else np.arange(len(ids))
-    order, sorted_all = order[np.argsort(-most[order], kind="stable")], reach == len(ids)
-    at = 0
-    while at < len(order):
-        if most[order[at]] == -np.inf or len(best) == k and most[order[at]] < best[-1][0]:
-            return best
-        own = order[at : at + STEP]
-        own = own[most[own] > -np.inf]
-        scores = _exact(x[own], q)
-        found = zip(scores.tolist(), ids[own].tolist())
+    """(score, id) of the query's k best candidates in the block; rows are the pivot table. The
+    vectors come in a type in which inner products are exact."""
+    most = upper_bounds(q_row, rows)
+    best = np.zeros((0, 2), np.int64 if x.dtype != object else object)
+
+    def evaluate(own: np.ndarray) -> None:
+        nonlocal best
+        own = own[ids[own] != q_id]
+        scores = x[own] @ q
         if len(best) == k:
-            found = (f for f in found if f[0] >= best[-1][0])
-        best = sorted([*best, *found], key=lambda f: (-f[0], f[1]))[:k]
-        at += STEP
-        if at >= len(order) and not sorted_all:  # the bounds beyond the first reach, in order
-            order, sorted_all = np.argsort(-most, kind="stable"), True
-    return best
+            own, scores = own[scores >= best[-1, 0]], scores[scores >= best[-1, 0]]
+        found = np.stack([scores.astype(best.dtype), ids[own].astype(best.dtype)], 1)
+        both = np.concatenate([best, found])
+        best = both[np.lexsort((both[:, 1], -both[:, 0]))[:k]]
+
+    first = min(STEP, len(ids))
+    order = np.argpartition(-most, first - 1)
+    evaluate(order[:first])
+    rest = order[first:]
+    if len(best) == k:  # what can't reach the k-th score so far is out already
+        rest = rest[most[rest] >= float(best[-1, 0])]
+    rest = rest[np.argsort(-most[rest], kind="stable")]
+    for at in range(0, len(rest), 8 * STEP):
+        if len(best) == k and most[rest[at]] < float(best[-1, 0]):
+            break
+        evaluate(rest[at : at + 8 * STEP])
+    return [(int(score), int(i)) for score, i in best]
 
 
 def _blocks(vectors: DataFrame, size: int, pivots: dict[int, np.ndarray]) -> DataFrame:
@@ -180,7 +189,10 @@ def top_k(vectors: DataFrame, is_query, k: int = TOP) -> DataFrame:
                 d = cell["dim"]
                 qi, xi = (np.frombuffer(cell[n], np.int64) for n in ("q_ids", "ids"))
                 q, x = (np.frombuffer(cell[n], np.int64).reshape(len(i), d) for n, i in (("q_vectors", qi), ("vectors", xi)))
-                qt, xt = (np.frombuffer(cell[n]).reshape(-1, len(i)) for n, i in (("q_table", qi), ("table", xi)))
+                qt, xt = (np.frombuffer(cell[n], np.float32).reshape(-1, len(i)) for n, i in (("q_table", qi), ("table", xi)))
+                kind = exact_type(q, x)
+                q, x = (a.tolist() if kind is object else a for a in (q, x))
+                q, x = (np.array(a, kind).reshape(-1, d) for a in (q, x))
                 rows = [
                     (int(i), vec, score)
                     for n, i in enumerate(qi)
