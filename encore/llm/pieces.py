@@ -78,6 +78,11 @@ class Pieces:
         self.score = {piece: -math.log(k + 2) - norm for k, (piece, _) in by_rank}
         self.ids = {piece: np.array([i], "<u4").tobytes() for piece, i in plain.items()}
         self.longest = max(map(len, plain))
+        #: Length of the longest piece that ends with two given characters.
+        self.reach: dict[str, int] = {}
+        for piece in plain:
+            if len(piece) > 1:
+                self.reach[piece[-2:]] = max(self.reach.get(piece[-2:], 0), len(piece))
         self.byte_score = -math.log(len(plain) + 2) - norm - BYTE_PENALTY
         self._empty()
 
@@ -103,12 +108,13 @@ class Pieces:
     def _forward(self, chunk: str) -> list[tuple[float, float, int]]:
         """Forward scores of all prefixes of the chunk, the empty one first."""
         known = self.forward if len(chunk) <= 64 else {"": self.forward[""]}
-        row, n, score, longest = [], len(chunk), self.score.get, self.longest
+        row, n, score, reach = [], len(chunk), self.score.get, self.reach.get
         while len(row) <= n and (found := known.get(chunk[: len(row)])) is not None:
             row.append(found)
         for end in range(len(row), n + 1):
             first, second, back = _NONE, _NONE, 1
-            for start in range(end - 1, max(end - longest, 0) - 1, -1):
+            furthest = reach(chunk[end - 2 : end], 1) if end > 1 else 1
+            for start in range(end - 1, max(end - furthest, 0) - 1, -1):
                 edge = score(chunk[start:end])
                 if edge is None:
                     if end - start > 1:
