@@ -15,7 +15,8 @@ its entries still meet. Components come from a distributed star algorithm.
 Defined cases. A null text counts as empty; a text without words has fingerprint zero and links
 like any other. Repeated rows each get a row. A row without an id is linked but can't name its
 component. An empty table gives an empty result. Other columns are not read; ``keep_one`` passes
-them through, but for names that begin with ``_sim_``.
+them through, but for names that begin with ``_sim_``. It decides by row, told apart by id and
+text, and keeps one row of each component: of rows alike in both it keeps any one.
 """
 
 from __future__ import annotations
@@ -67,14 +68,15 @@ def fingerprint(text: bytes, words_in: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and code of every row."""
+    """doc_id, hash of the text and code of every row."""
 
     def run(batch):
         codes = [fingerprint(t) for t in batch.column("body").to_pylist()]
-        return {"doc_id": batch.column("doc_id"), "code": codes}
+        return {"doc_id": batch.column("doc_id"), "own": batch.column("own"), "code": codes}
 
-    picked = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), utf8(text_col).alias("body"))
-    return map_batches(picked, run, "doc_id bigint, code bigint")
+    body = utf8(text_col)
+    picked = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(body).alias("own"), body.alias("body"))
+    return map_batches(picked, run, "doc_id bigint, own bigint, code bigint")
 
 
 def _masks() -> np.ndarray:
@@ -241,23 +243,40 @@ def _and_end(batches: Iterator) -> Iterator:
     yield None
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, code and component_id of every row."""
+def members(docs: DataFrame) -> DataFrame:
+    """doc_id, own, code, root and component_id of every row. A component is known by its root, as
+    its component_id is null if no row of it has an id, and one id may name several."""
     marked = stage_table(fingerprints(docs), "fingerprints")
     codes = stage_table(marked.groupBy("code").agg(F.min("doc_id").alias("first")), "codes")
     roots = components(stage_table(links(codes.select("code")), "links"))
     entries = codes.join(roots.select(F.col("u").alias("code"), F.col("v").alias("root")), "code", "left")
     entries = stage_table(entries.withColumn("root", F.coalesce("root", "code")), "entries")
     least = entries.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = entries.join(least, "root").select("code", "component_id")
-    return marked.join(stage_table(named, "named"), "code").select("doc_id", "code", "component_id")
+    named = entries.join(least, "root").select("code", "root", "component_id")
+    return marked.join(stage_table(named, "named"), "code").select("doc_id", "own", "code", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, code and component_id of every row."""
+    return members(docs).select("doc_id", "code", "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their component; rows without an id, which
-    can't be told apart from others, stay."""
-    gone = near_duplicates(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("_sim_id"))
-    return docs.join(gone, F.col("doc_id").cast("bigint") == F.col("_sim_id"), "left_anti")
+    """One row of each component: of those with its smallest id (of all, if none has an id) the one
+    with the smallest hash of its text. Copies of that row under the same id go as well."""
+    rows = stage_table(members(docs), "members")
+    first = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    kinds = stage_table(rows.where(first).groupBy("root", "doc_id", "own").agg(F.count("*").alias("n")), "first-kinds")
+    kept = kinds.groupBy("root").agg(F.min("own").alias("own"))
+    key = F.col("doc_id").alias("_sim_id"), F.col("own").alias("_sim_own")
+    again = stage_table(kinds.where("n > 1").join(kept, ["root", "own"], "left_semi").select(*key), "repeated-rows")
+    others = kinds.join(kept, ["root", "own"], "left_anti").select(*key)
+    gone = stage_table(rows.where(~first).select(*key).distinct().union(others).union(again), "gone")
+    keyed = docs.withColumns({"_sim_doc": F.col("doc_id").cast("bigint"), "_sim_text": F.xxhash64(utf8("text"))})
+    same = F.col("_sim_doc").eqNullSafe(F.col("_sim_id")) & (F.col("_sim_text") == F.col("_sim_own"))
+    once = keyed.join(gone, same, "left_anti")
+    one = keyed.join(again, same, "left_semi").dropDuplicates(["_sim_doc", "_sim_text"])
+    return once.union(one).drop("_sim_doc", "_sim_text")
 
 
 @query("op2_simhash_near_dedup")

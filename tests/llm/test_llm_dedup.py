@@ -60,6 +60,16 @@ def test_fingerprints_and_components(spark):
     assert simhash.near_duplicates(data.empty(spark)).count() == 0
 
 
+def test_one_row_of_a_component_stays(spark):
+    rng = data.random.Random(8)
+    a, b, c, d, e = (data.prose(rng, 200) for _ in range(5))
+    rows = [(1, a), (1, a), (1, a), (None, a), (2, b), (5, b), (5, c), (5, c), (None, d), (None, d), (7, e), (7, e + " ")]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id bigint, text string, own string")
+    kept = data.collected(simhash.keep_one(docs), "doc_id", "text", "own")
+    got = sorted(((t.strip(), i) for i, t, _ in kept), key=str)
+    assert got == sorted([(a.strip(), 1), (b.strip(), 2), (c.strip(), 5), (d.strip(), None), (e.strip(), 7)], key=str)
+
+
 def test_simhash_query(spark):
     got = {r.doc_id: r for r in base.QUERIES["op2_simhash_near_dedup"](spark, data.SMALL).collect()}
     docs = spark.read.parquet(f"{data.SMALL}/documents.parquet")

@@ -53,3 +53,16 @@ def test_stages_on_awkward_rows(spark):
     none = data.empty(spark)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, none, data.SMALL).count() == 0
+
+
+def test_repeated_rows_pass_the_pipeline_once(spark):
+    rng = data.random.Random(9)
+    a, b, c, d = (data.prose(rng, 200) for _ in range(4))
+    rows = [(1, a), (1, a), (None, a), (2, b), (5, b), (5, c), (None, d), (None, d)]
+    docs = spark.createDataFrame([(*r, "en", len(r[1])) for r in rows], "doc_id bigint, text string, lang string, n_chars bigint")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage_table(stage(spark, docs, data.SMALL), name)
+    got = data.collected(docs, "doc_id", "text", "n_chars")
+    assert sorted(got, key=str) == sorted([(i, t, len(t)) for i, t in ((1, a), (2, b), (5, c), (None, d))], key=str)
+    pieces = corpus_pipeline.pack(spark, docs, data.SMALL).collect()
+    assert sorted(str(r[0]) for r in pieces) == ["1", "2", "5", "None"]
