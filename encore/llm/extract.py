@@ -4,17 +4,19 @@ Markup is stripped to lines, one per block element, in page order. Containers th
 the page (menus, forms, scripts, adverts, comments) leave a gap of empty lines; lines that are
 mostly links count as empty too. Over the lines, text lengths are summed in sliding windows. A
 surge is where the sum rises to the threshold, a dive where a whole window is empty; the lines
-between are kept. Where a page marks its article, only lines inside it count.
+between are kept. Where a page marks its article, all lines inside it are kept, and no others.
 
 Defined cases. A null, empty or text-free page has an empty text. A page none of whose windows
 reaches the threshold is judged against its own largest sum, so short articles are kept. Unclosed
-or truncated markup ends with the page. Repeated rows each get a row; other columns are not read.
+markup ends with what it stands in, or where HTML lets its end tag be left out, at the latest with
+the page. Repeated rows each get a row; other columns are not read.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +54,25 @@ _INLINE = {
     "font", "i", "img", "ins", "kbd", "mark", "q", "s", "samp", "small", "span", "strike",
     "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "nobr", "ruby", "rb", "rt", "rp",
 }
+#: Elements whose class or role may say what they hold, and those of them whose id doesn't: ids of
+#: headings, paragraphs, items and cells are link targets made of words of the text.
+_CONTAINERS = {
+    "div", "header", "ul", "ol", "dl", "table", "details", "figure", "center", "section", "li", "dt",
+    "dd", "thead", "tbody", "tfoot", "tr", "td", "th",
+}
+_ANCHORS = {"li", "dt", "dd", "thead", "tbody", "tfoot", "tr", "td", "th"}
+#: Start tags that end an element without its end tag, if not in a list or table of its own.
+_BLOCKS = {
+    "address", "article", "aside", "blockquote", "details", "div", "dl", "fieldset", "figure", "footer",
+    "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "menu", "nav", "ol", "p", "pre",
+    "section", "table", "ul",
+}
+_ROWS = {"tr", "tbody", "tfoot"}
+_ENDED_BY = {
+    "p": _BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": _ROWS,
+    "td": {"td", "th"} | _ROWS, "th": {"td", "th"} | _ROWS,
+}
+_NESTS = ("ul", "ol", "menu", "dl", "table")
 _HINT = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|adsense|banner|sponsor(?:ed)?|promo(?:tion)?|menu|nav"
     r"|navbar|navigation|sidebar|side-?bar|footer|header|masthead|breadcrumbs?|cookies?|notices?"
@@ -70,8 +91,10 @@ def _skipped(name: str, attributes: str, in_article: bool) -> bool:
         return False
     for key, value in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
-        if key in ("class", "id", "role") and _HINT.search(value):
-            return True
+        if name in _CONTAINERS and key in ("class", "id", "role") and (key != "id" or name not in _ANCHORS):
+            # A section's id is made of its heading, unless it is no more than such a word.
+            if (_HINT.fullmatch if name == "section" and key == "id" else _HINT.search)(value):
+                return True
         if key == "hidden" or key == "style" and _HIDDEN.search(value):
             return True
     return False
@@ -102,6 +125,8 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
     at, size = 0, len(page)
     article = links = 0
     skip, depth = "", 0
+    around: list[str] = []  # open blocks, with their numbers by name; within: those in a skipped one
+    opened, within = Counter(), Counter()
     while at < size:
         m = _TOKEN.search(page, at)
         text = page[at : m.start() if m else size]
@@ -121,21 +146,41 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
             at = end.end()
             continue
         if skip:
-            if name == skip and not alone:
+            nested = any(within[n] for n in _NESTS)
+            if not closing and name in _ENDED_BY.get(skip, ()) and not nested:
+                skip = ""  # its end tag was left out
+            elif name == skip and skip in _ENDED_BY:
+                if not nested:
+                    skip = ""
+                    continue
+            elif name == skip and not alone:
                 depth += -1 if closing else 1
                 if depth == 0:
                     skip = ""
-            elif name in ("article", "main", "body") and not closing and skip not in ("article", "main"):
-                skip, depth = "", 0  # it was never closed
-            else:
-                continue
-            if skip or closing:
+                    continue
+            elif name in ("article", "main", "body") and not closing and not article:
+                skip = ""  # it was never closed
+            elif closing and not within[name] and opened[name]:
+                skip = ""  # what it stands in ends
+            elif not alone and name not in _INLINE:
+                within[name] = max(0, within[name] + (-1 if closing else 1))
+            if skip:
                 continue
         if not closing and not alone and _skipped(name, m[3], article > 0):
             lines.end(article > 0)
             lines.gap()
             skip, depth = name, 1
+            within.clear()
             continue
+        if not alone and name not in _INLINE:
+            if not closing:
+                around.append(name)
+                opened[name] += 1
+            elif opened[name]:
+                last = ""
+                while last != name:
+                    last = around.pop()
+                    opened[last] -= 1
         if name == "a":
             links = max(0, links + (-1 if closing else 1))
         if name == "br":
@@ -177,7 +222,8 @@ def main_text(page: str | None) -> str:
         0 if not t or inside and not a or not inside and k > LINK_SHARE * len(t) else len(t)
         for t, k, a in lines
     ]
-    return " ".join(t for (t, _, _), size, ok in zip(lines, sizes, keep_lines(sizes)) if ok and size)
+    kept = sizes if inside else keep_lines(sizes)
+    return " ".join(t for (t, _, _), size, ok in zip(lines, sizes, kept) if ok and size)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:

@@ -164,6 +164,23 @@ def test_extraction_of_odd_pages(spark):
     assert extract.extract(rows.where("false")).count() == 0
 
 
+def test_extraction_keeps_all_of_an_article():
+    long = "A paragraph that is long enough to be told from the rest of a page by its length alone, as any is."
+    for inner, want in (
+        (f"<p>{long}</p><aside>ad</aside><p>Short end.</p>", f"{long} Short end."),
+        (f"<h2>Head</h2><form>f</form><p>{long}</p>", f"Head {long}"),
+        ("<h2 id='Legal_status'>Law</h2><section id='related-work'><p class='notice-period'>Work</p></section>", "Law Work"),
+        ("<div class='share'>s</div><section class='comments'>c</section><section id='related'>r</section><p>x", "x"),
+        ("<p hidden>h<p>x</p>", "x"),
+        ("<ul><li class='ad'>a<ul><li>b<li>c</ul><li>x</ul><p>y</p>", "x y"),
+        ("<ul><li>x<li class='ad'>a</ul><p>y</p>", "x y"),
+        ("<section><div class='ad'>a<p>b</p></section><p>y</p>", "y"),
+        ("<div class='ad'><article>teaser</article></div><p>y</p>", "y"),
+    ):
+        assert extract.main_text(f"<body><article>{inner}</article><p>out</p></body>") == want, inner
+    assert extract.main_text(f"<body><div><nav>menu</div><p>{long}</p></body>") == long
+
+
 def test_surge_and_dive():
     assert extract.keep_lines([5, 0, 0, 0, 40, 50, 0, 30, 0, 0, 0, 4]) == [False] * 4 + [True] * 4 + [False] * 4
     assert extract.keep_lines([]) == [] and extract.keep_lines([0, 0]) == [False, False]
