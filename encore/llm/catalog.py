@@ -2,6 +2,7 @@
 
 from encore.llm import (  # noqa: F401
     extract,
+    jaccard,
     language,
     line_dedup,
     packing,

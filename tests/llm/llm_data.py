@@ -117,3 +117,34 @@ def token_pieces(text, capacity=4096):
     ids = np.array(encoder.encode(text or "", add_special_tokens=False).ids + [1], "<u4")
     cuts = range(0, len(ids), capacity)
     return [(k, a, len(ids[a : a + capacity]), zlib.crc32(ids[a : a + capacity].tobytes())) for k, a in enumerate(cuts)]
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def jaccard_rows(rows):
+    """rows: (doc_id, text). (doc_id, set size, smallest id within reach), by row, sorted."""
+    sets = []
+    for _, t in rows:
+        w = words(az(t or ""))
+        sets.append({tuple(w[a : a + 5]) for a in range(max(1, len(w) - 4))} if w else set())
+    root, holders = list(range(len(rows))), collections.defaultdict(list)
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for k, own in enumerate(sets):
+        both = collections.Counter(b for s in own for b in holders[s])
+        for b, n in both.items():
+            if 100 * n >= 80 * (len(own) + len(sets[b]) - n):
+                x, y = sorted((find(k), find(b)))
+                root[y] = x
+        for s in own:
+            holders[s].append(k)
+    groups = collections.defaultdict(list)
+    for k, (i, _) in enumerate(rows):
+        groups[find(k)] += [i] if i is not None else []
+    return sorted([(i, len(sets[k]), min(groups[find(k)], default=None)) for k, (i, _) in enumerate(rows)], key=str)
