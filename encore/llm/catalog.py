@@ -9,8 +9,10 @@ from encore.llm import (  # noqa: F401
     pieces,
     quality,
     rules,
+    runs,
     search,
     simhash,
     suffixes,
+    turns,
 )
 from encore.llm.base import ORACLES, QUERIES  # noqa: F401

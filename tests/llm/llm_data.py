@@ -148,3 +148,97 @@ def jaccard_rows(rows):
     for k, (i, _) in enumerate(rows):
         groups[find(k)] += [i] if i is not None else []
     return sorted([(i, len(sets[k]), min(groups[find(k)], default=None)) for k, (i, _) in enumerate(rows)], key=str)
+
+
+def runs_of(w):
+    """(start, length, period) of every run of a list of words."""
+    found = {}
+    for q in range(1, len(w) // 2 + 1):
+        j = 0
+        while j + q < len(w):
+            a = j
+            while j + q < len(w) and w[j] == w[j + q]:
+                j += 1
+            if j > a and j + q - a >= max(12, 2 * q):
+                found.setdefault((a, j + q - a), q)
+            j += 1
+    return sorted((a, n, q) for (a, n), q in found.items())
+
+
+def run_row(doc_id, text, damage):
+    w = words(text)
+    h = zlib.crc32(str(doc_id).encode())
+    if damage and h % 10 == 0 and w:
+        g = h // 10
+        a = g % len(w)
+        p = 1 + (len(w) - a) // (3 + g % 8)
+        w = [w[i] if i < a else w[a + (i - a) % p] for i in range(len(w))]
+    runs = runs_of(w)
+    gone = {i for s, n, q in runs for i in range(s + q, s + n)}
+    top = min(runs, key=lambda r: (-r[1], r[0], r[2]), default=None)
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    return (
+        doc_id, len(runs), *((top[0], top[1], top[2], 1000 * top[1] // top[2]) if top else (None,) * 4),
+        sha("".join(f"{s},{n},{q}\n" for s, n, q in runs)), sha(" ".join(x for i, x in enumerate(w) if i not in gone)),
+    )
+
+
+def conversation_rows(rows, damage=True):
+    """rows: (conv_id, turn, role, text). The result of the repair, by enumerating all edits."""
+    kept = collections.defaultdict(list)
+    for conv, turn, role, text in rows:
+        kept[conv]
+        role, text = (" " if x is None else x for x in (role, text))
+        k = zlib.crc32(":".join(" " if x is None else str(x) for x in (conv, turn)).encode()) % 20 if damage else 9
+        text = "" if k == 1 else re.sub("[.!?]", "", text) if k == 2 else text
+        kept[conv] += [(turn, "user" if k == 4 else role, text)] * (0 if k == 0 else 2 if k == 3 else 1)
+    return {conv: _repaired(conv, own) for conv, own in kept.items()}
+
+
+def _repaired(conv, rows):
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode()))
+    numbered = [t for t, _, _ in rows if t is not None]
+    faults, seen = [], set()
+    for _, role, text in rows:
+        bare = text.strip(" \t\n\x0b\x0c\r")
+        faults.append("blank" if not bare else "duplicate" if (role, text) in seen else "cut" if bare[-1] not in ".!?" else "")
+        seen.add((role, text))
+    admits = {"": "su", "s": "u", "u": "a", "a": "u"}  # by the last initial
+    best = {state: None for state in admits}
+
+    def relax(table):
+        for _ in range(4):
+            for state, nexts in admits.items():
+                for x in nexts.replace("s", ""):
+                    if table.get(x):
+                        c, letters, out = table[x]
+                        option = (c + 2, "I" + letters, [({"u": "user", "a": "assistant"}[x], "")] + out)
+                        if not table.get(state) or option[:2] < table[state][:2]:
+                            table[state] = option
+        return table
+
+    best = relax({"": (0, "", []), "a": (0, "", [])})
+    for (_, role, text), fault in reversed(list(zip(rows, faults))):
+        table = {}
+        for state, nexts in admits.items():
+            options = []
+            if best.get(state):
+                c, letters, out = best[state]
+                options.append((c + 3, "D" + letters, out))
+            if fault not in ("blank", "duplicate"):
+                for x in nexts:
+                    if best.get(x):
+                        c, letters, out = best[x]
+                        c += fault == "cut"
+                        if role[:1] == x:
+                            options.append((c, "K" + letters, [(role, text)] + out))
+                        if x != "s":
+                            options.append((c + 2, "R" + letters, [({"u": "user", "a": "assistant"}[x], text)] + out))
+            if options:
+                table[state] = min(options, key=lambda o: o[:2])
+        best = relax(table)
+    cost, audit, out = best[""]
+    illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(rows, rows[1:]))
+    gaps = max(numbered) - min(numbered) + 1 - len(set(numbered)) if numbered else 0
+    sha = hashlib.sha256("\n".join(f"{r}:{t}" for r, t in out).encode()).hexdigest()
+    return (conv, gaps, faults.count("blank"), faults.count("duplicate"), faults.count("cut"), illegal, cost, audit, sha)
