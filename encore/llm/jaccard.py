@@ -42,10 +42,12 @@ PERCENT = 80
 #: Bits of a shingle's hash that choose its counter.
 TABLE_BITS = 18
 #: Most matches that a prefix may ask for.
-MOST_MATCHES = 4
+MOST_MATCHES = 8
+#: Others expected to hold a shingle by chance, below what the counters can tell.
+CHANCE = 0.05
 #: Estimated costs, in entries of a list read: to deal out a prefix shingle, to verify a candidate,
 #: and for each shingle that the verification compares.
-DEAL, VERIFY, COMPARE = 4.0, 20.0, 0.05
+DEAL, VERIFY, COMPARE = 1.0, 20.0, 0.05
 #: A list expected to be longer is dealt over parts; so is a hub with more tries.
 PART_ROWS = 1 << 14
 HUB_ROWS = 1 << 12
@@ -127,7 +129,7 @@ def estimates(described: DataFrame) -> np.ndarray:
     counted = described.where("bucket is not null").groupBy("bucket").agg(F.sum("count").alias("count")).toArrow()
     out = np.zeros(1 << TABLE_BITS)
     out[counted.column("bucket").to_numpy()] = counted.column("count").to_numpy()
-    return np.maximum(out - out.mean(), 0).astype(np.float32)
+    return (np.maximum(out - out.mean(), 0) + CHANCE).astype(np.float32)
 
 
 def least_overlap(n: int) -> int:
@@ -180,15 +182,19 @@ def prefixes(docs: DataFrame, held_by: np.ndarray, id_col: str = "doc_id", text_
 
 
 def shared_lists(prefix_rows: DataFrame) -> DataFrame:
-    """The prefix rows whose token another class has in its prefix too."""
+    """The prefix rows whose token another class has in its prefix too, of classes with as many of
+    them as some class in their lists asks for."""
     own = Window.partitionBy("token", "part")
-    return (
+    shared = (
         prefix_rows.withColumn("part", F.pmod("key", F.col("parts").cast("bigint")).cast("int"))
         .dropDuplicates(["token", "part", "key"])
-        .withColumns({"low": F.min("key").over(own), "high": F.max("key").over(own)})
+        .withColumns({"low": F.min("key").over(own), "high": F.max("key").over(own), "least": F.min("asks").over(own)})
         .where("low <> high or parts > 1")
-        .select("token", "key", "n", "pos", "asks")
+        .select("token", "key", "n", "pos", "asks", F.expr("if(parts > 1, 1, least)").alias("least"))
     )
+    shared = stage_table(shared, "shared")
+    enough = shared.groupBy("key").agg(F.count("*").alias("own"), F.min("least").alias("least")).where("own >= least")
+    return shared.join(enough.select("key"), "key", "left_semi").drop("least")
 
 
 def shingle_sets(docs: DataFrame, described: DataFrame, lists: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -334,7 +340,8 @@ def class_links(lists: DataFrame, sets: DataFrame, rounds: int = ROUNDS) -> Data
         else:
             met = strays.join(rows.alias("b"), F.expr("b.token = h.of and b.key = h.hub")).where(_meets("a", "b"))
             pairs = (
-                met.groupBy(F.col("a.key").alias("key"), F.col("h.hub").alias("hub")).agg(F.count("*").alias("shared"))
+                met.groupBy(F.col("a.key").alias("key"), F.col("h.hub").alias("hub"))
+                .agg(F.count("*").alias("shared"), F.min(F.least("a.asks", "b.asks")).alias("asks")).where("shared >= asks")
                 .groupBy(F.col("key").alias("member")).agg(F.max_by("hub", F.struct("shared", "hub")).alias("hub"))
                 .select("hub", "member")
             )

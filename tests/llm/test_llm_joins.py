@@ -64,6 +64,7 @@ def test_jaccard_query_and_empty_table(spark):
 
 def test_matches_follow_estimated_cost():
     assert jaccard.matches(np.zeros(100, np.float32)) == 1
+    assert 1 < jaccard.matches(np.full(100, jaccard.CHANCE, np.float32)) < jaccard.MOST_MATCHES
     assert jaccard.matches(np.full(100, 5000, np.float32)) == jaccard.MOST_MATCHES
     assert jaccard.matches(np.full(1, 5000, np.float32)) == 1
     rising = np.r_[np.zeros(21), np.full(79, 10_000)].astype(np.float32)
