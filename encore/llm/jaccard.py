@@ -7,8 +7,8 @@ estimates them. Of a set of n shingles, any partner shares at least 0.8 n, so tw
 least m of their first n - ceil(0.8 n) + m shingles, for every m. Each class picks the m for
 which its prefix is estimated to cost least: a longer prefix means longer lists to join, but fewer
 candidates, as m shared shingles are asked for. A pair uses the smaller m of its two classes, and
-the prefix length that their two sizes allow. Candidates also need enough room behind their last
-shared prefix shingle; what is left is verified on whole sets.
+the prefix length that their two sizes allow; shingles that no other prefix holds must leave enough
+to share. Candidates are verified on whole sets.
 
 Only links that connect are sought, never all pairs of a group. Rounds first try each class
 against one hub of a list that it isn't connected with yet, so a group of thousands of near copies
@@ -52,7 +52,7 @@ DEAL, VERIFY, COMPARE = 1.0, 20.0, 0.05
 PART_ROWS = 1 << 14
 HUB_ROWS = 1 << 12
 #: Most rounds with hubs, and the checks for each list row below which they end earlier.
-ROUNDS, FEW_CHECKS = 6, 4
+ROUNDS, FEW_CHECKS = 6, 16
 
 _MIX, _SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(29)
 
@@ -182,8 +182,10 @@ def prefixes(docs: DataFrame, held_by: np.ndarray, id_col: str = "doc_id", text_
 
 
 def shared_lists(prefix_rows: DataFrame) -> DataFrame:
-    """The prefix rows whose token another class has in its prefix too, of classes with as many of
-    them as some class in their lists asks for."""
+    """The prefix rows whose token another class has in its prefix too: token, key, n, pos, asks and
+    rank, the row's place among those of its class. Shingles that no other prefix holds can't be
+    shared, so a pair's last shared prefix shingle has a rank of what the pair asks for at least,
+    and few such shingles before it; classes without a row that can be that are left out."""
     own = Window.partitionBy("token", "part")
     shared = (
         prefix_rows.withColumn("part", F.pmod("key", F.col("parts").cast("bigint")).cast("int"))
@@ -192,9 +194,13 @@ def shared_lists(prefix_rows: DataFrame) -> DataFrame:
         .where("low <> high or parts > 1")
         .select("token", "key", "n", "pos", "asks", F.expr("if(parts > 1, 1, least)").alias("least"))
     )
-    shared = stage_table(shared, "shared")
-    enough = shared.groupBy("key").agg(F.count("*").alias("own"), F.min("least").alias("least")).where("own >= least")
-    return shared.join(enough.select("key"), "key", "left_semi").drop("least")
+    one = Window.partitionBy("key")
+    ranked = shared.withColumn("rank", F.row_number().over(one.orderBy("pos")))
+    able = (F.col("rank") >= F.col("least")) & (100 * (F.col("pos") + 1 - F.col("rank")) <= (100 - PERCENT) * F.col("n"))
+    ranked = ranked.withColumn("able", F.max(able).over(one)).where("able")
+    ranked = stage_table(ranked.select("token", "key", "n", "pos", "asks", "rank"), "ranked")
+    several = ranked.groupBy("token").agg(F.count("*").alias("held")).where("held > 1").select("token")
+    return ranked.join(several, "token", "left_semi")
 
 
 def shingle_sets(docs: DataFrame, described: DataFrame, lists: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -224,37 +230,16 @@ def _overlap_needed(n: Column, m: Column) -> Column:
 
 
 def _meets(a: str, b: str) -> Column:
-    """Whether the shared token lies in both prefixes, as long as the two sizes allow."""
-    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
-    need, asks = _overlap_needed(n, m), F.least(f"{a}.asks", f"{b}.asks")
-    return (
-        (n >= need) & (m >= need)
-        & (F.col(f"{a}.pos") < n - need + asks) & (F.col(f"{b}.pos") < m - need + asks)
-    )
-
+    """Whether the shared token lies in both prefixes, as long as the two sizes allow, and the
+    shingles before it that no other prefix holds leave enough to share."""
+    asks = F.least(f"{a}.asks", f"{b}.asks")
+    need = _overlap_needed(F.col(f"{a}.n"), F.col(f"{b}.n"))
 
-def _candidates(met: DataFrame, a: str, b: str) -> DataFrame:
-    """u, v and shared of the pairs that meet often enough, with enough room behind."""
-    first = F.col(f"{a}.key") < F.col(f"{b}.key")
+    def side(x: str) -> Column:
+        spare, pos, rank = F.col(f"{x}.n") - need, F.col(f"{x}.pos"), F.col(f"{x}.rank")
+        return (pos < spare + asks) & (pos + 1 - rank <= spare)
 
-    def side(column: str, own: Column) -> Column:
-        return F.when(own, F.col(f"{a}.{column}")).otherwise(F.col(f"{b}.{column}"))
-
-    return (
-        met.select(
-            *[side(c, first).alias(f"u_{c}") for c in ("key", "n", "pos")],
-            *[side(c, ~first).alias(f"v_{c}") for c in ("key", "n", "pos")],
-            F.least(f"{a}.asks", f"{b}.asks").alias("asks"),
-        )
-        .groupBy(F.col("u_key").alias("u"), F.col("v_key").alias("v"), "u_n", "v_n", "asks")
-        .agg(F.count("*").cast("int").alias("shared"), F.max("u_pos").alias("u_pos"), F.max("v_pos").alias("v_pos"))
-        .where(
-            (F.col("shared") >= F.col("asks"))
-            & (F.col("shared") + F.least(F.expr("u_n - u_pos - 1"), F.expr("v_n - v_pos - 1"))
-               >= _overlap_needed(F.col("u_n"), F.col("v_n")))
-        )
-        .select("u", "v", "shared")
-    )
+    return side(a) & side(b)
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -299,9 +284,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def _rooted(lists: DataFrame, roots: DataFrame | None) -> DataFrame:
-    if roots is None:
-        return lists.withColumn("root", F.col("key"))
+def _rooted(lists: DataFrame, roots: DataFrame) -> DataFrame:
     known = roots.select(F.col("u").alias("key"), F.col("v").alias("found"))
     return lists.join(known, "key", "left").select(*lists.columns, F.coalesce("found", "key").alias("root"))
 
@@ -309,20 +292,19 @@ def _rooted(lists: DataFrame, roots: DataFrame | None) -> DataFrame:
 def class_links(lists: DataFrame, sets: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """u and v: for every linked class but the least of its component, that least one."""
     total = lists.count()
-    roots = links = None
+    rows, roots, links = lists.withColumn("root", F.col("key")), None, None
     for turn in range(rounds + 1):
-        rows = stage_table(_rooted(lists, roots), "rooted")
-        # Each list's hub is a class of its most frequent component, another one in each round.
-        by_root = rows.groupBy("token", "root").agg(
-            F.count("*").alias("held"), F.min_by("key", F.xxhash64(F.lit(turn), "key")).alias("hub")
-        )
+        # Each list's hub is a class of its most frequent component: first the one with the fewest
+        # rare shingles before the shared one, as an original has that was copied with changes;
+        # another one in each later round.
+        dealt = F.xxhash64(F.lit(turn), "key")
+        order = F.struct("pos", dealt) if turn == 0 else F.struct(dealt, "pos")
+        by_root = rows.groupBy("token", "root").agg(F.count("*").alias("held"), F.min(F.struct(order.alias("o"), "key")).alias("m"))
+        top = F.struct("held", -F.col("m.o").getField("pos"), F.xxhash64(F.lit(turn), "m.key"), F.col("m.key").alias("hub"), F.col("root").alias("hub_root"))
         hubs = stage_table(
-            by_root.groupBy("token").agg(
-                F.sum("held").alias("size"),
-                F.max(F.struct("held", F.xxhash64(F.lit(turn), "hub").alias("h"), "hub", F.col("root").alias("hub_root"))).alias("top"),
-                F.count("*").alias("roots"),
-            )
-            .where("roots > 1").select(F.col("token").alias("of"), "size", "top.held", "top.hub", "top.hub_root"),
+            by_root.groupBy("token")
+            .agg(F.sum("held").alias("size"), F.max(top).alias("top"), F.count("*").alias("roots")).where("roots > 1")
+            .select(F.col("token").alias("of"), "size", "top.held", "top.hub", "top.hub_root"),
             "hubs",
         )
         checks = hubs.agg(F.sum((F.col("size") - F.col("held")) * F.col("size"))).first()[0] or 0
@@ -336,12 +318,15 @@ def class_links(lists: DataFrame, sets: DataFrame, rounds: int = ROUNDS) -> Data
                 & ((F.col("b.root") == F.col("h.hub_root")) | (F.col("a.key") < F.col("b.key")))
                 & _meets("a", "b")
             )
-            pairs = _candidates(met, "a", "b").select(F.col("u").alias("hub"), F.col("v").alias("member"))
+            pairs = (
+                met.groupBy(F.least("a.key", "b.key").alias("hub"), F.greatest("a.key", "b.key").alias("member"))
+                .agg(F.count("*").alias("shared"), F.min(F.least("a.asks", "b.asks")).alias("asks"))
+                .where("shared >= asks").select("hub", "member")
+            )
         else:
             met = strays.join(rows.alias("b"), F.expr("b.token = h.of and b.key = h.hub")).where(_meets("a", "b"))
             pairs = (
-                met.groupBy(F.col("a.key").alias("key"), F.col("h.hub").alias("hub"))
-                .agg(F.count("*").alias("shared"), F.min(F.least("a.asks", "b.asks")).alias("asks")).where("shared >= asks")
+                met.groupBy(F.col("a.key").alias("key"), F.col("h.hub").alias("hub")).agg(F.count("*").alias("shared"))
                 .groupBy(F.col("key").alias("member")).agg(F.max_by("hub", F.struct("shared", "hub")).alias("hub"))
                 .select("hub", "member")
             )
@@ -352,7 +337,11 @@ def class_links(lists: DataFrame, sets: DataFrame, rounds: int = ROUNDS) -> Data
             roots = components(links)
         if last:
             break
-        if not new:
+        if new:
+            # Lists of one component have no more to tell.
+            mixed = hubs.select(F.col("of").alias("token"))
+            rows = stage_table(_rooted(lists.join(mixed, "token", "left_semi"), roots), "rooted")
+        else:
             rounds = turn + 1  # hubs find nothing more; the next turn is the whole comparison
     return roots if roots is not None else lists.sparkSession.createDataFrame([], "u bigint, v bigint")
 
