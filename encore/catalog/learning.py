@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from encore.catalog.base import query, state_of, tracks
-from encore.config import FeatureConfig
-from encore.learning import metrics, models, prepare, splits
+from encore.config import TARGET, FeatureConfig
+from encore.learning import metrics, models, moments, prepare, splits
 from encore.operators.profile import coverage, existing
 from encore.operators.stats import high_label
 from encore.session import stage_table
@@ -239,79 +239,117 @@ def classification_metrics(spark, sf):
     return out.select("n", *[F.round(c, 6).alias(c) for c in ("accuracy", "f1", "roc_auc")])
 
 
-_STUDIED: dict[tuple, tuple] = {}
+_STUDIED: dict[tuple, object] = {}
 
 
-def _studied(spark, sf, *names):
-    """Each model's result row (cross-validated in five folds, and held out) and its fit on all of
-    the training rows, at the library's defaults and on the features that the coverage gate
-    chooses. A model is fitted once for an application and a state of the input files."""
-    at = (spark.sparkContext.applicationId, *state_of(spark, sf, "lineitem", "orders", "part"))
-    if (*at, "frame") not in _STUDIED:
+def _once(spark, sf, what, make):
+    """What ``make`` gives, once for an application and a state of the input files."""
+    at = (spark.sparkContext.applicationId, *state_of(spark, sf, "lineitem", "orders", "part"), what)
+    if at not in _STUDIED:
+        _STUDIED[at] = make()
+    return _STUDIED[at]
+
+
+def _frame(spark, sf):
+    """Model rows with holdout and folds on the features that the coverage gate chooses."""
+
+    def make():
         rows = tracks(spark, sf)
         numeric, categorical, _ = prepare.choose_features(rows, CFG)
         numeric, categorical = existing(numeric, rows.columns), existing(categorical, rows.columns)
         frame = splits.with_holdout(prepare.model_frame(rows, numeric, categorical), "mbid")
-        frame = stage_table(splits.with_fold(frame, "mbid", 5), "study-frame")
-        _STUDIED[(*at, "frame")] = frame, numeric, categorical
-    frame, numeric, categorical = _STUDIED[(*at, "frame")]
-    train, test = frame.where(~F.col("is_test")), frame.where(F.col("is_test"))
-    for name in names:
-        if (*at, name) not in _STUDIED:
-            model = models.line_up(numeric, categorical)[name]
-            row, fitted = models.evaluate(name, model, train, test)
-            _STUDIED[(*at, name)] = stage_table(row, "model-result"), fitted
-    results = [_STUDIED[(*at, n)][0] for n in names]
-    fits = {n: _STUDIED[(*at, n)][1] for n in names}
-    return reduce(DataFrame.unionByName, results), fits, train, test, (numeric, categorical)
-
-
-_LINEAR = ("Linear Regression (baseline)", "Ridge", "Lasso", "PCA + Ridge")
+        return stage_table(splits.with_fold(frame, "mbid", 5), "study-frame"), numeric, categorical
+
+    return _once(spark, sf, "frame", make)
+
+
+def _moments(spark, sf):
+    return _once(spark, sf, "moments", lambda: moments.Moments(*_frame(spark, sf), TARGET))
+
+
+def _linear(spark, sf):
+    return _once(spark, sf, "linear", lambda: moments.linear_results(_moments(spark, sf)))
+
+
+def _trees(spark, sf):
+    return _once(spark, sf, "trees", lambda: models.TreeStudy(_moments(spark, sf)))
+
+
+def _tree(spark, sf, name):
+    """The fit of a tree model on all of the training rows."""
+    _, numeric, categorical = _frame(spark, sf)
+
+    def make():
+        return _trees(spark, sf).fit(models.line_up(numeric, categorical)[name].getStages()[-1])
+
+    return _once(spark, sf, name, make)
+
+
+def _tree_result(spark, sf, name):
+    """Its result row: cross-validated in five folds, and held out."""
+    _, numeric, categorical = _frame(spark, sf)
+
+    def make():
+        model = models.line_up(numeric, categorical)[name].getStages()[-1]
+        return stage_table(_trees(spark, sf).evaluate(name, model, _tree(spark, sf, name))[0], "model-result")
+
+    return _once(spark, sf, ("result", name), make)
+
+
+def _results(spark, sf):
+    trees = [_tree_result(spark, sf, n) for n in _TREES]
+    return reduce(DataFrame.unionByName, trees, _linear(spark, sf)[0])
+
+
+def _fits(spark, sf):
+    return {**_linear(spark, sf)[1], **{n: _tree(spark, sf, n) for n in _TREES}}
+
+
 _TREES = ("Random Forest", "Gradient Boosting")
 
 
 @query("pca_summary")
 def pca_summary(spark, sf):
-    return models.pca_summary(_studied(spark, sf, "PCA + Ridge")[1]["PCA + Ridge"])
+    return models.pca_summary(_linear(spark, sf)[1]["PCA + Ridge"])
 
 
 @query("fit_linear")
 def fit_linear(spark, sf):
-    return _studied(spark, sf, *_LINEAR)[0]
+    return _linear(spark, sf)[0]
 
 
 @query("fit_forest")
 def fit_forest(spark, sf):
-    return _studied(spark, sf, "Random Forest")[0]
+    return _tree_result(spark, sf, "Random Forest")
 
 
 @query("fit_gbt")
 def fit_gbt(spark, sf):
-    return _studied(spark, sf, "Gradient Boosting")[0]
+    return _tree_result(spark, sf, "Gradient Boosting")
 
 
 @query("model_results")
 def model_results(spark, sf):
     """The compared models, best held-out score first."""
-    return _studied(spark, sf, *_LINEAR, *_TREES)[0].orderBy(F.desc("test_r2"), "model")
+    return _results(spark, sf).orderBy(F.desc("test_r2"), "model")
 
 
 @query("importance_table")
 def importance_table(spark, sf):
-    _, fits, train, _, columns = _studied(spark, sf, *_LINEAR, *_TREES)
-    return models.importance_table(fits, train, *columns)
+    frame, *columns = _frame(spark, sf)
+    return models.importance_table(_fits(spark, sf), frame, *columns)
 
 
 @query("importance_top")
 def importance_top(spark, sf):
-    _, fits, train, _, columns = _studied(spark, sf, "Random Forest")
-    return models.importance_top(models.importance_table(fits, train, *columns), "Random Forest")
+    frame, *columns = _frame(spark, sf)
+    fits = {"Random Forest": _tree(spark, sf, "Random Forest")}
+    return models.importance_top(models.importance_table(fits, frame, *columns), "Random Forest")
 
 
 @query("prediction_table")
 def prediction_table(spark, sf):
-    _, fits, _, test, _ = _studied(spark, sf, *_LINEAR, *_TREES)
-    return models.prediction_table(fits, test)
+    return models.prediction_table(_fits(spark, sf), _frame(spark, sf)[0].where("is_test"))
 
 
 def _imbalance(spark, sf):

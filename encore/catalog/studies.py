@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from encore.catalog.base import lexicon, query, state_of, table, tracks
-from encore.catalog.learning import _LINEAR, _TREES, _imbalance, _studied
+from encore.catalog.learning import _fits, _frame, _imbalance, _linear, _results
 from encore.learning import models, splits
 from encore.operators import order, terms
 from encore.plans import report, texts
@@ -80,7 +80,7 @@ def text_report(spark, sf):
 
 @query("model_report")
 def model_report(spark, sf):
-    results, fits, train, _, columns = _studied(spark, sf, *_LINEAR, *_TREES)
-    importance = models.importance_table(fits, train, *columns)
-    pca = models.pca_summary(fits["PCA + Ridge"])
-    return report.model_report(results, importance, _imbalance(spark, sf), pca)
+    frame, *columns = _frame(spark, sf)
+    importance = models.importance_table(_fits(spark, sf), frame, *columns)
+    pca = models.pca_summary(_linear(spark, sf)[1]["PCA + Ridge"])
+    return report.model_report(_results(spark, sf), importance, _imbalance(spark, sf), pca)
