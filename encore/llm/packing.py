@@ -83,11 +83,11 @@ class WordTokens:
 
     def _learn(self, fresh: set[bytes]) -> None:
         """Encode new words. ASCII signs after letters are a token run of their own, so such words
-        are put together from both."""
+        are put together from both; unless a letter's lower case ends with a mark, which joins them."""
         known, ends, bare = self.known, [], set()
         for w in fresh:
             head = w.rstrip(SIGNS)
-            if head and len(head) < len(w) and (head.isalpha() or head.decode("utf-8", "replace").isalpha()):
+            if head and len(head) < len(w) and (head.isalpha() or head.decode("utf-8", "replace").lower().isalpha()):
                 tail = w[len(head) :]
                 ends.append((w, head, tail))
                 bare.add(head)
