@@ -107,9 +107,10 @@ class Pieces:
 
     def _forward(self, chunk: str) -> list[tuple[float, float, int]]:
         """Forward scores of all prefixes of the chunk, the empty one first."""
-        known = self.forward if len(chunk) <= 64 else {"": self.forward[""]}
-        row, n, score, reach = [], len(chunk), self.score.get, self.reach.get
-        while len(row) <= n and (found := known.get(chunk[: len(row)])) is not None:
+        # Prefixes of long chunks aren't kept: they would take the square of the chunk's length.
+        known = self.forward if len(chunk) <= 64 else None
+        row, n, score, reach = [self.forward[""]], len(chunk), self.score.get, self.reach.get
+        while known and len(row) <= n and (found := known.get(chunk[: len(row)])) is not None:
             row.append(found)
         for end in range(len(row), n + 1):
             first, second, back = _NONE, _NONE, 1
@@ -126,8 +127,9 @@ class Pieces:
                     first, back = a + edge, end - start
                 elif a + edge > second:
                     second = a + edge
-            found = known[chunk[:end]] = (first, second, back)
-            row.append(found)
+            row.append((first, second, back))
+            if known:
+                known[chunk[:end]] = row[-1]
         return row
 
     def _add(self, chunk: str) -> int:
@@ -146,20 +148,36 @@ class Pieces:
         return k
 
     def n_best(self, chunk: str, n: int) -> list[tuple[float, bytes]]:
-        """The n best segmentations of a chunk, by A-star from its end."""
-        row = self._forward(chunk)
-        queue = [(-row[-1][0], b"", len(chunk), 0.0)]
+        """The n best segmentations of a chunk, by A-star from its end.
+
+        The scores to go are exact, so a place is left for the k-th time on its k-th best way: it is
+        expanded n times at most. Of equal scores, the one nearest to the start goes first.
+        """
+        row, reach, visits = self._forward(chunk), self.reach.get, [0] * (len(chunk) + 1)
+        queue: list[tuple] = [(-row[-1][0], len(chunk), 0, 0.0, None)]
         out: list[tuple[float, bytes]] = []
+        pushed = 0
         while queue and len(out) < n:
-            loss, ids, end, behind = heappop(queue)
+            _, end, _, behind, way = heappop(queue)
             if not end:
-                out.append((-loss, ids))
+                ids = []
+                while way:
+                    piece, way = way
+                    ids.append(self._spell(piece))
+                out.append((behind, b"".join(ids)))
                 continue
-            for start in range(end - 1, max(end - self.longest, 0) - 1, -1):
+            if visits[end] == n:
+                continue
+            visits[end] += 1
+            furthest = reach(chunk[end - 2 : end], 1) if end > 1 else 1
+            for start in range(end - 1, max(end - furthest, 0) - 1, -1):
                 piece = chunk[start:end]
                 edge = self._edge(piece)
                 if edge is not None:
-                    heappush(queue, (-(behind + edge + row[start][0]), self._spell(piece) + ids, start, behind + edge))
+                    pushed += 1
+                    score = behind + edge
+                    # Rounded, so that the order of additions doesn't part equal scores.
+                    heappush(queue, (round(-(score + row[start][0]), 9), start, pushed, score, (piece, way)))
         return out
 
     def encode(self, text: str, n: int = N_BEST) -> list[tuple[float, bytes]]:

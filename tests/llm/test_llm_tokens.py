@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import Counter
 
@@ -126,3 +127,41 @@ def test_piece_query(spark):
         ways = own.encode(texts[r.doc_id])
         assert r.ids_crc32 == zlib.crc32(ways[0][1]) and r.scores == [s for s, _ in ways]
         assert r.scores == sorted(r.scores, reverse=True)
+
+
+def test_n_best_of_periodic_and_long_texts():
+    own = pieces.pieces_of(pieces.VOCABULARY)
+
+    def brute(chunk, n):
+        best = [[0.0]]
+        for end in range(1, len(chunk) + 1):
+            ways = [a + e for s in range(end) if (e := own._edge(chunk[s:end])) is not None for a in best[s]]
+            best.append(sorted(ways, reverse=True)[:n])
+        return best[-1]
+
+    rng = random.Random(1)
+    for _ in range(80):
+        chunk = rng.choice(["", " "]) + rng.choice(["a", "lol", "ab", "the", "é"]) * rng.randrange(1, 12) + rng.choice(["", "b", "é"])
+        for n in (1, 4):
+            got = own.n_best(chunk, n)
+            assert np.allclose([s for s, _ in got], brute(chunk, n), atol=1e-7)
+            assert len({ids for _, ids in got}) == len(got)
+    for text in ("a" * 100_000, "a" * 1000 + "é" * 1000, "lol" * 5000, "word" * 10_000):
+        ways = own.encode(text)
+        assert len(ways) == pieces.N_BEST
+        assert all(own.decode(np.frombuffer(ids, "<u4")) == text for _, ids in ways)
+
+
+def test_word_ids_equal_the_tokenizers_on_specials():
+    """Letters whose case changes length or context, marks, signs and blanks, in any order."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    encoder = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    own = packing.WordTokens(public_tokenizers.path("word_bpe_49k.json"))
+    specials = "İıŞşßẞΣσςǅﬁﬃŉΐ́̇İÅKΩ" + "aZé12_" + ".,)('!-$" + " \t\n  　"
+    rng = random.Random(9)
+    texts = ["".join(rng.choice(specials) for _ in range(rng.randrange(1, 14))) for _ in range(4000)] + ["İ. İ, İ) İSTANBUL.İ"]
+    got = own.encode([t.encode() for t in texts])
+    wrong = [t for t, ids in zip(texts, got) if np.frombuffer(ids, "<u4").tolist() != encoder.encode(t, add_special_tokens=False).ids]
+    assert not wrong, (len(wrong), wrong[:5])
