@@ -10,8 +10,8 @@ corpus. Finding all such strings takes three steps, each exact.
 2. Segments that occur twice as a whole are repeated as a whole. What is left are segments at the
    edges of repeats; one copy of each kind is cut from its text, with the kinds it may match.
 3. Those kinds are dealt out by anchor and split into shards. A shard's suffixes are sorted into
-   its Burrows-Wheeler transform over an alphabet of 100-byte blocks (a text read at each of 100
-   phases). The shards' transforms are merged by refining their interleave: each round orders
+   its Burrows-Wheeler transform over an alphabet of blocks of a quarter of the length, 100 bytes (a
+   text read at each of 100 phases). The shards' transforms are merged by refining their interleave: each round orders
    suffixes by one more block, without comparing them, and splits the intervals of suffixes alike
    so far. After four rounds, 400 bytes, an interval of two or more is a repeated string.
 
@@ -19,7 +19,11 @@ Kinds of an anchor that has more than ``CROWD`` of them, a passage with very man
 don't meet in one task: their strings are hashed and counted, with counts combined before the
 shuffle.
 
-Defined cases. A null text counts as empty; texts under 400 bytes stay whole. Rows are documents:
+``length`` sets the least length of a repeat, a multiple of four; 400 unless given. ``gram`` sets the
+anchors' grams, half of the length unless given: shorter ones make fewer segments and more suspects,
+and change no result.
+
+Defined cases. A null text counts as empty; texts under that length stay whole. Rows are documents:
 repeated rows are copies of each other, and go whole. Overlaps count, in one text too. An empty
 table gives an empty result. ``remove_repeats`` passes other columns through, but for names that
 begin with ``_sfx_``, and cuts at whole characters.
@@ -39,8 +43,8 @@ from encore.llm.base import map_batches, query, ship, table, to_arrow, utf8
 from encore.session import stage_table
 
 LENGTH = 400
-GRAM = 200
-BLOCK = 100
+#: Rounds of refinement, each by one block of the length.
+ROUNDS = 4
 SHARDS = 4
 #: Most kinds of one anchor that meet in one task.
 CROWD = 512
@@ -84,17 +88,17 @@ def gram_hashes(sums: np.ndarray, size: int) -> np.ndarray:
     return _mix((sums[size:] - sums[:-size]) * _POWER[: len(sums) - size])
 
 
-def segments(text: bytes) -> np.ndarray:
+def segments(text: bytes, length: int = LENGTH, gram: int = LENGTH // 2) -> np.ndarray:
     """Rows (first start, last start, anchor, hash of its gram, hash of the segment)."""
     parts = []
-    for at in range(0, max(1, len(text) - LENGTH + 1), SLICE - LENGTH + 1):
+    for at in range(0, max(1, len(text) - length + 1), SLICE - length + 1):
         part = text[at : at + SLICE]
-        if len(part) < LENGTH:
+        if len(part) < length:
             break
         sums = _sums(part)
-        grams = gram_hashes(sums, GRAM)
+        grams = gram_hashes(sums, gram)
         least = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
-        width, window = 1, LENGTH - GRAM + 1
+        width, window = 1, length - gram + 1
         while 2 * width <= window:
             least = np.minimum(least[:-width], least[width:])
             width *= 2
@@ -103,7 +107,7 @@ def segments(text: bytes) -> np.ndarray:
         anchor = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
         cut = np.flatnonzero(anchor[1:] != anchor[:-1]) + 1
         first, last = np.r_[0, cut], np.r_[cut, len(anchor)] - 1
-        own = (sums[last + LENGTH] - sums[first]) * _POWER[first]
+        own = (sums[last + length] - sums[first]) * _POWER[first]
         whole = _mix(own + (last - first).astype(np.uint64) * _ODD)
         at_gram = anchor[first]
         parts.append(
@@ -124,9 +128,9 @@ def _keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-def all_segments(keyed: DataFrame) -> DataFrame:
+def all_segments(keyed: DataFrame, length: int = LENGTH, gram: int = LENGTH // 2) -> DataFrame:
     def run(batch):
-        found = [segments(t) for t in batch.column("body").to_pylist()]
+        found = [segments(t, length, gram) for t in batch.column("body").to_pylist()]
         owner = np.repeat(np.arange(len(found)), [f.shape[1] for f in found])
         rows = np.concatenate(found, 1)
         return {n: batch.column(n).take(pa.array(owner)) for n in KEY} | dict(
@@ -183,8 +187,11 @@ def merge_transforms(
     return source, interval
 
 
-def repeated_starts(bodies: list[bytes], length: int = LENGTH, block: int = BLOCK, shards: int = SHARDS) -> list[np.ndarray]:
+def repeated_starts(
+    bodies: list[bytes], length: int = LENGTH, block: int | None = None, shards: int = SHARDS
+) -> list[np.ndarray]:
     """For each body, where strings of that length start that also start elsewhere among all."""
+    block = block or length // ROUNDS
     blocks, place, body = [], [], []
     for k, b in enumerate(bodies):
         n = len(b) + 1
@@ -228,16 +235,16 @@ def repeated_starts(bodies: list[bytes], length: int = LENGTH, block: int = BLOC
 # --- the operator -----------------------------------------------------------------------------
 
 
-def _spans(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _spans(starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Runs of starts as covered bytes."""
     cut = np.flatnonzero(np.diff(starts) > 1) + 1
-    return starts[np.r_[0, cut]], starts[np.r_[cut, len(starts)] - 1] + LENGTH
+    return starts[np.r_[0, cut]], starts[np.r_[cut, len(starts)] - 1] + length
 
 
 SPAN = _KEYS + "from bigint, to bigint"
 
 
-def _merged_spans(pieces: DataFrame) -> DataFrame:
+def _merged_spans(pieces: DataFrame, length: int) -> DataFrame:
     """Spans of single kinds that repeat in part, by merging transforms of whole anchors' kinds."""
     spark = pieces.sparkSession
     schema = to_arrow(spark, SPAN)
@@ -246,9 +253,9 @@ def _merged_spans(pieces: DataFrame) -> DataFrame:
 
     def spans_of(rows: list[tuple]) -> pa.RecordBatch:
         columns: list[list] = [[], [], [], []]
-        for (_, n, doc_id, text, first, _), at in zip(rows, repeated_starts([r[5] for r in rows])):
+        for (_, n, doc_id, text, first, _), at in zip(rows, repeated_starts([r[5] for r in rows], length)):
             if n == 1 and len(at):
-                for a, b in zip(*_spans(at)):
+                for a, b in zip(*_spans(at, length)):
                     for c, v in zip(columns, (doc_id, text, first + int(a), first + int(b))):
                         c.append(v)
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
@@ -270,14 +277,14 @@ def _merged_spans(pieces: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, SPAN)
 
 
-def _counted_spans(pieces: DataFrame) -> DataFrame:
+def _counted_spans(pieces: DataFrame, length: int) -> DataFrame:
     """The same for crowded anchors, by counting the strings' hashes."""
 
     def run(batch):
         starts, grams, strings, owner = [], [], [], []
         bodies, first = batch.column("body").to_pylist(), batch.column("first").to_numpy()
         for k, b in enumerate(bodies):
-            h = gram_hashes(_sums(b), LENGTH)
+            h = gram_hashes(_sums(b), length)
             strings.append(h.view(np.int64))
             starts.append(first[k] + np.arange(len(h)))
             owner.append(np.full(len(h), k))
@@ -291,13 +298,18 @@ def _counted_spans(pieces: DataFrame) -> DataFrame:
     )
     again = strings.groupBy("gram", "string").agg(F.count("*").alias("c")).where("c > 1").drop("c")
     hit = strings.where("n = 1").join(again, ["gram", "string"])
-    return hit.select(*KEY, F.col("start").alias("from"), (F.col("start") + LENGTH).alias("to"))
+    return hit.select(*KEY, F.col("start").alias("from"), (F.col("start") + length).alias("to"))
 
 
-def repeated_spans(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
+def repeated_spans(
+    docs: DataFrame, crowd: int = CROWD, length: int = LENGTH, gram: int | None = None
+) -> DataFrame:
     """For each row with repeated bytes: doc_id, _sfx_text, _sfx_spans (from, to; may overlap)."""
+    if length < ROUNDS or length % ROUNDS:
+        raise ValueError(f"the length must be a multiple of {ROUNDS}")
+    gram = gram or length // 2
     keyed = _keyed(docs)
-    every = stage_table(all_segments(keyed), "segments")
+    every = stage_table(all_segments(keyed, length, gram), "segments")
     twice = every.groupBy("gram").agg(F.count("*").alias("c")).where("c > 1").select("gram")
     suspects = stage_table(every.join(stage_table(twice, "grams"), "gram"), "suspects")
     kinds = stage_table(
@@ -307,7 +319,7 @@ def repeated_spans(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
         "kinds",
     )
     whole = suspects.join(kinds.where("n > 1").select("gram", "whole"), ["gram", "whole"]).select(
-        *KEY, F.col("first").alias("from"), (F.col("last") + LENGTH).alias("to")
+        *KEY, F.col("first").alias("from"), (F.col("last") + length).alias("to")
     )
     open_ = kinds.groupBy("gram").agg(
         F.count("*").alias("kinds"), F.sum((F.col("n") == 1).cast("bigint")).alias("single")
@@ -325,13 +337,13 @@ def repeated_spans(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     pieces = stage_table(
         texts.withColumn("cut", F.explode("cuts")).select(
             "cut.gram", "cut.n", "cut.crowded", "cut.first", *KEY,
-            F.substring(F.col("body"), (cut["first"] + 1).cast("int"), (cut["last"] - cut["first"] + LENGTH).cast("int")).alias("body"),
+            F.substring(F.col("body"), (cut["first"] + 1).cast("int"), (cut["last"] - cut["first"] + length).cast("int")).alias("body"),
         ),
         "pieces",
     )
     spans = (
-        whole.union(_merged_spans(pieces.where("NOT crowded")))
-        .union(_counted_spans(pieces.where("crowded")))
+        whole.union(_merged_spans(pieces.where("NOT crowded"), length))
+        .union(_counted_spans(pieces.where("crowded"), length))
     )
     return stage_table(
         spans.groupBy(*KEY).agg(F.collect_list(F.struct("from", "to")).alias("_sfx_spans")), "spans"
@@ -370,10 +382,10 @@ def whole_characters(text: bytes, runs: list[tuple[int, int]]) -> list[tuple[int
     return out
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int | None = None) -> DataFrame:
     """``docs`` with the repeated bytes gone from ``text``; all other columns as they are."""
     key = {"_sfx_id": F.col("doc_id").cast("bigint"), "_sfx_own": F.xxhash64(utf8("text"))}
-    spans = repeated_spans(docs).withColumnsRenamed({"doc_id": "_sfx_r_id"})
+    spans = repeated_spans(docs, length=length, gram=gram).withColumnsRenamed({"doc_id": "_sfx_r_id"})
     both = docs.withColumns(key).join(
         spans, F.col("_sfx_id").eqNullSafe(F.col("_sfx_r_id")) & (F.col("_sfx_own") == F.col("_sfx_text")), "left"
     )
@@ -396,6 +408,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
 @query("op6_suffix_array_dedup")
 def op6_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """The contract's digests, and what is left of each text, at whole characters."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
     both = _same_row(_keyed(docs), repeated_spans(docs), "left").select("doc_id", "body", "_sfx_spans")
 
@@ -408,8 +421,9 @@ def op6_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
             "n_removed": [sum(b - a for a, b in r) for r in runs],
             "n_spans": [len(r) for r in runs],
             "kept_sha256": [hashlib.sha256(without(b, r)).hexdigest() for b, r in zip(bodies, runs)],
+            "text": [without(b, whole_characters(b, r)).decode() for b, r in zip(bodies, runs)],
         }
 
     return map_batches(
-        both, run, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
+        both, run, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, text string"
     )

@@ -90,15 +90,15 @@ def near_components(codes):
     return {i: find(i) for i in ids}
 
 
-def repeated_bytes(texts):
-    """For each text as bytes: which are covered by a 400-byte string that starts elsewhere too."""
-    count = collections.Counter(b[p : p + 400] for b in texts for p in range(len(b) - 399))
+def repeated_bytes(texts, length=400):
+    """For each text as bytes: which are covered by a string of that length that starts elsewhere too."""
+    count = collections.Counter(b[p : p + length] for b in texts for p in range(len(b) - length + 1))
     out = []
     for b in texts:
         hit = np.zeros(len(b), bool)
-        for p in range(len(b) - 399):
-            if count[b[p : p + 400]] > 1:
-                hit[p : p + 400] = True
+        for p in range(len(b) - length + 1):
+            if count[b[p : p + length]] > 1:
+                hit[p : p + length] = True
         out.append(hit)
     return out
 

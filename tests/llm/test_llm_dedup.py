@@ -110,12 +110,12 @@ def test_components_of_chains_and_stars(spark):
     assert {(r.u, r.v) for r in got.collect()} == {(i, 0) for i in range(1, 61)} | {(100 + i, 100) for i in range(1, 50)}
 
 
-@pytest.mark.parametrize("crowd", [512, 1])
-def test_repeated_bytes(spark, crowd):
+@pytest.mark.parametrize("crowd, length, gram", [(512, 400, None), (1, 400, None), (512, 200, 64), (1, 40, 12)])
+def test_repeated_bytes(spark, crowd, length, gram):
     docs = data.awkward(spark)
-    spans = suffixes.repeated_spans(docs, crowd).collect()
+    spans = suffixes.repeated_spans(docs, crowd, length, gram).collect()
     rows = data.collected(docs, "doc_id", "text")
-    hits = data.repeated_bytes([(t or "").encode() for _, t in rows])
+    hits = data.repeated_bytes([(t or "").encode() for _, t in rows], length)
     got = {r.doc_id: suffixes.runs_of(r._sfx_spans) for r in spans}
     for (i, t), hit in zip(rows, hits):
         mine = np.zeros(len(hit), bool)
@@ -147,6 +147,10 @@ def test_suffix_query(spark):
     want = {i: data.removal(b, h) for (i, _), b, h in zip(docs, bodies, data.repeated_bytes(bodies))}
     got = base.QUERIES["op6_suffix_array_dedup"](spark, data.SMALL).collect()
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == want
+    whole = {r.doc_id: r.text for r in got if not r.n_removed}
+    assert all(whole[i] == (t or "") for i, t in docs if i in whole)
+    with pytest.raises(ValueError):
+        suffixes.repeated_spans(data.empty(spark), length=402)
 
 
 def test_merged_transforms_equal_one_sort():

@@ -8,7 +8,7 @@ from encore.session import stage_table
 def test_stage_list():
     names = ["language_id", "line_dedup", "simhash_near_dedup", "suffix_array_dedup", "best_fit_packing"]
     assert [n for n, _ in corpus_pipeline.STAGES] == names and corpus_pipeline.ORACLE_SQL is None
-    assert {f"op{n}_" for n in range(1, 11)} == {q.split("_")[0] + "_" for q in base.QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} == {q.split("_")[0] + "_" for q in base.QUERIES}
 
 
 def expected(docs, langs):
@@ -19,7 +19,7 @@ def expected(docs, langs):
     component = data.near_components({i: data.fingerprint(t) for i, t in docs})
     docs = [(i, t) for i, t in docs if component[i] == i]
     out = set()
-    for (i, t), hit in zip(docs, data.repeated_bytes([t.encode() for _, t in docs])):
+    for (i, t), hit in zip(docs, data.repeated_bytes([t.encode() for _, t in docs], corpus_pipeline.PASSAGE)):
         body = t.encode()
         whole = [hit[k] for k in range(len(body))]
         for k in range(len(body)):  # a character goes only if all its bytes do
