@@ -14,6 +14,11 @@ from encore.llm import language, line_dedup, packing, simhash, suffixes
 from encore.llm.base import table
 from encore.session import stage_table
 
+#: Least repeated passage in bytes: 51 words of three letters, with a blank after each but the last,
+#: take 203. Grams of its anchors are shorter than usual, so that segments stay few.
+PASSAGE = 200
+PASSAGE_GRAM = 64
+
 
 def _counted(docs: DataFrame) -> DataFrame:
     length = F.char_length(F.coalesce("text", F.lit(""))).cast("bigint")
@@ -36,8 +41,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 400 bytes or more that start anywhere else as well are cut from the texts."""
-    return _counted(suffixes.remove_repeats(docs))
+    """Passages of ``PASSAGE`` bytes or more that start anywhere else as well are cut from the texts."""
+    return _counted(suffixes.remove_repeats(docs, PASSAGE, PASSAGE_GRAM))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
