@@ -2,8 +2,8 @@
 
 Exact links are an equi-join on normalised keys. Fuzzy links (same artist give or take a leading
 "the", word-order-free title similarity at or above a cut) use a lossless key instead of comparing
-every title of an artist: two titles that reach the cut must share one of their rarest character
-pairs, so candidates meet on (artist, pair). That key also splits a very large artist over many
+every title of an artist: titles that reach the cut have a segment in common, so candidates meet on
+(artist, length, edits, segment and its place). That key also splits a very large artist over many
 tasks. Repeated (artist, title) keys on either side are reduced first, map-side.
 """
 
@@ -25,12 +25,6 @@ from encore.session import stage_table
 # Ship this module's helpers with the task instead of expecting the package on every executor.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Letters of English text from frequent to rare (fixed values), and stand-ins in byte order, so
-# that a descending sort of translated pairs puts the rare ones first.
-_BY_FREQUENCY = " etaoinshrdlcumwfgypbvkjxqz"
-_STAND_INS = "abcdefghijklmnopqrstuvwxyz{"
-_GRAM = 2
-
 
 def common_subsequence(a: str, b: str) -> int:
     """Length of the longest common subsequence, one machine-wide bit row at a time."""
@@ -78,39 +72,55 @@ def title_similarity(a: Column, b: Column) -> Column:
     return _similarity(sorted_words(a), sorted_words(b))
 
 
-def with_rare_pairs(df: DataFrame, title: str, out: str, cut: int = FUZZY_CUT) -> DataFrame:
-    """Add the character pairs of which any two titles reaching the cut share at least one.
+# Two titles of lengths n and l that reach the cut are at most `_budget` single-letter insertions
+# and deletions apart, so a title in one more segments than that keeps a segment whole. Take the
+# first segment up to which there are no more edits than segments before it: it is whole, and there
+# are exactly as many edits before it as segments, which leaves few places for it in the other title.
 
-    With slack c = 1 - cut/100, a title of length L that still reaches the cut loses at most
-    q * L * 2c / (1 + c) of its q-grams; keeping one more than that, by rarity, is lossless.
-    Repeats are numbered so the pairs form a true bag.
-    """
-    c = (100 - cut) / 100.0
-    if (_GRAM - 1) * c > (1 - c) / 2:
-        raise ValueError("the bound on lost pairs needs a cut of at least 67")
-    padded = F.concat(F.lit("~"), F.translate(title, _BY_FREQUENCY, _STAND_INS), F.lit("~"))
-    grams = F.transform(
-        F.sequence(F.lit(1), F.length("_padded") - (_GRAM - 1)),
-        lambda i: F.substr(F.col("_padded"), i, F.lit(_GRAM)),
-    )
-    g = F.col("_grams")
-    # Counting earlier equals is only needed where a pair repeats.
-    numbered = F.when(
-        F.size(F.array_distinct(g)) == F.size(g), F.transform(g, lambda x: F.concat(x, F.lit("1")))
-    ).otherwise(
-        F.transform(
-            g,
-            lambda x, i: F.concat(
-                x, F.size(F.filter(F.slice(g, F.lit(1), i + 1), lambda h: h == x)).cast("string")
-            ),
-        )
+
+def _budget(n: str, l: str, cut: int) -> str:
+    most = f"(({n} + {l}) * {100 - cut} div 100)"
+    return f"cast({most} - abs({most} - ({n} - {l})) % 2 as int)"  # of the parity of n - l
+
+
+def _lengths(l: str, cut: int) -> str:
+    """Lengths of the titles that can reach the cut with one of length ``l``."""
+    least = f"({l} * {cut} + {200 - cut - 1}) div {200 - cut}"
+    return f"sequence(cast({least} as int), cast({l} * {200 - cut} div {cut} as int))"
+
+
+def _segment(title: str, n: str, shift: str = "0") -> dict[str, str]:
+    start, end = f"(_i * {n} div (_d + 1))", f"((_i + 1) * {n} div (_d + 1))"
+    part = f"substring({title}, cast({start} + {shift} + 1 as int), cast({end} - {start} as int))"
+    return {"start": start, "end": end, "key": f"xxhash64({n}, _d, _i, {part})"}
+
+
+def index_segments(df: DataFrame, title: str, cut: int = FUZZY_CUT) -> DataFrame:
+    """One row for each segment of ``title``, under each number of edits a partner may need."""
+    budgets = f"array_distinct(transform({_lengths('_n', cut)}, x -> {_budget('_n', 'x', cut)}))"
+    return (
+        df.withColumn("_n", F.length(title))
+        .withColumn("_d", F.explode(F.expr(budgets)))
+        .withColumn("_i", F.explode(F.expr("sequence(0, _d)")))
+        .withColumn("segment", F.expr(_segment(title, "_n")["key"]))
+        .drop("_n", "_d", "_i")
     )
-    lost = F.floor(F.length(title) * F.lit(_GRAM * 2 * c / (1 + c)) + F.lit(1e-9)).cast("int")
+
+
+def probe_segments(df: DataFrame, title: str, cut: int = FUZZY_CUT) -> DataFrame:
+    """One row for each place in ``title`` where a whole segment of a partner may stand."""
+    at = _segment(title, "_n", "_shift")
     return (
-        df.withColumn("_padded", padded)
-        .withColumn("_grams", grams)
-        .withColumn(out, F.slice(F.sort_array(numbered, asc=False), F.lit(1), lost + 1))
-        .drop("_padded", "_grams")
+        df.withColumn("_l", F.length(title))
+        .withColumn("_n", F.explode(F.expr(_lengths("_l", cut))))
+        .withColumn("_d", F.expr(_budget("_n", "_l", cut)))
+        .withColumn("_i", F.explode(F.expr("sequence(0, _d)")))
+        .withColumn("_shift", F.explode(F.expr("sequence(-_i, _i, 2)")))
+        # What is left of the edits must make up the rest of the difference in length.
+        .where("abs(_l - _n - _shift) <= _d - _i")
+        .where(f"{at['start']} + _shift >= 0 AND {at['end']} + _shift <= _l")
+        .withColumn("segment", F.expr(at["key"]))
+        .drop("_l", "_n", "_d", "_i", "_shift")
     )
 
 
@@ -159,6 +169,14 @@ def link_exact(keys: DataFrame, targets: DataFrame) -> DataFrame:
     return keys.join(exact_index(targets), ["a", "t"]).select("seq", "id")
 
 
+def candidates(probes: DataFrame, indexed: DataFrame, cut: int = FUZZY_CUT) -> DataFrame:
+    """Pairs of ``probes`` (block, u, ...) and ``indexed`` (block, s, ...) that share a segment;
+    a pair comes once for each shared one."""
+    return probe_segments(probes, "u", cut).join(
+        index_segments(indexed, "s", cut), ["block", "segment"]
+    )
+
+
 def link_fuzzy(pairs: DataFrame, targets: DataFrame, cut: int = FUZZY_CUT) -> DataFrame:
     """``(a, t, id, score)``: the best item for each distinct key pair, if it reaches the cut.
 
@@ -176,8 +194,8 @@ def link_fuzzy(pairs: DataFrame, targets: DataFrame, cut: int = FUZZY_CUT) -> Da
             F.struct("id", "target"), F.struct(-_ranked(F.col("target")), F.col("id"))
         ).alias("best")
     )
-    blocks = indexed.select(F.col("block").alias("_b")).distinct()
-    probes = (
+    blocks = stage_table(indexed.select(F.col("block").alias("_b")).distinct(), "blocks")
+    named = (
         pairs.select("a", "t")
         .distinct()
         .join(blocks, F.col("a") == F.col("_b"), "left")
@@ -188,17 +206,13 @@ def link_fuzzy(pairs: DataFrame, targets: DataFrame, cut: int = FUZZY_CUT) -> Da
             sorted_words(F.col("t")).alias("u"),
         )
     )
-    # The outer form keeps the optimizer from building the pairs again to test the list, below
-    # the reductions above.
-    left = with_rare_pairs(probes, "u", "ug", cut).withColumn("g", F.explode_outer("ug"))
-    right = with_rare_pairs(indexed, "s", "sg", cut).withColumn("g", F.explode_outer("sg"))
-    met = left.join(right, ["block", "g"])
-    # A pair that shares several grams is taken only at the first of them. The lengths are the
-    # cheapest test and come first.
-    close = 200 * F.least(F.length("u"), F.length("s")) >= cut * (F.length("u") + F.length("s"))
-    first = F.array_intersect("ug", "sg")[0] == F.col("g")
+    probes = named.join(blocks, F.col("block") == F.col("_b"), "left_semi")
+    met = candidates(probes, indexed, cut)
+    # A pair that shares several segments is scored once.
     scored = (
-        met.where(close & first & within_reach(F.col("u"), F.col("s"), cut))
+        met.where(within_reach(F.col("u"), F.col("s"), cut))
+        .groupBy("a", "t", "u", "s")
+        .agg(F.any_value("best").alias("best"))
         .select("a", "t", "best", _similarity("u", "s").alias("score"))
         .where(F.col("score") >= cut)
     )

@@ -140,3 +140,17 @@ def test_blocking_has_no_cartesian_step(spark):
 def test_coverage(spark):
     links = linking.link_texts(corpus(spark), items(spark))
     assert rows(linking.link_coverage(links, items(spark))) == [(4, 4, 100.0)]
+
+
+def test_candidates_stay_few_for_a_large_artist(spark):
+    """A fraction of all pairs of an artist's titles meet, and every pair that reaches the cut does."""
+    rng = random.Random(11)
+    vocabulary = ["".join(rng.choices("etaoinshrdlcu", k=rng.randint(2, 7))) for _ in range(80)]
+    titles = sorted({" ".join(sorted(rng.choices(vocabulary, k=rng.randint(2, 5)))) for _ in range(600)})
+    other = sorted({" ".join(sorted(corrupt(rng, t).split())) for t in titles})
+    left = spark.createDataFrame([("x", t) for t in other], "block string, u string")
+    right = spark.createDataFrame([("x", t) for t in titles], "block string, s string")
+    met = linking.candidates(left, right)
+    assert met.count() < 0.05 * len(titles) * len(other)
+    want = {(u, s) for u in other for s in titles if score(u, s) >= 85}
+    assert want <= {(r.u, r.s) for r in met.select("u", "s").distinct().collect()}
