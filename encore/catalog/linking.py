@@ -30,7 +30,46 @@ def link_exact(spark, sf):
     return linking.link_exact(linking.corpus_keys(link_corpus(spark, sf)), targets)
 
 
-@query("link_fuzzy")
+def _sorted_sql(t):
+    return f"array_to_string(list_sort(list_filter(string_split({t}, ' '), lambda w: w <> '')), ' ')"
+
+
+def _ratio_sql(a, b):
+    """Similarity by the longest common subsequence: a fold over the letters of ``b`` whose state
+    has a bit for each letter of ``a`` (up to 126 letters), 0 where the subsequence grew."""
+    full = f"((1::HUGEINT << len({a})::INT) - 1)"
+    places = f"""list_sum(list_transform(range(len({a})), lambda i: CASE WHEN {a}[i + 1] = c
+        THEN 1::HUGEINT << i::INT ELSE 0::HUGEINT END))::HUGEINT"""
+    row = f"""list_reduce(list_prepend({full}, list_transform(string_split({b}, ''), lambda c: {places})),
+        lambda r, m: ((r + (r & m)) | (r - (r & m))) & {full})"""
+    return f"""CASE WHEN len({a}) + len({b}) = 0 THEN 100.0::DOUBLE
+        WHEN len({a}) = 0 OR len({b}) = 0 THEN 0.0::DOUBLE
+        ELSE 200.0::DOUBLE * (len({a}) - bit_count({row})) / (len({a}) + len({b})) END"""
+
+
+# Every title of the artist is compared, or of the artist's other name where there is none.
+_FUZZY = f"""{_EXACT},
+    item AS (SELECT mbid, {_key('artist_name')} AS a, {_sorted_sql(_key('title'))} AS s,
+        log_repeat_listens AS y FROM tracks
+        WHERE mbid IS NOT NULL AND title IS NOT NULL AND artist_name IS NOT NULL),
+    named AS (SELECT a AS block, * EXCLUDE (a) FROM item UNION ALL
+        SELECT CASE WHEN a LIKE 'the %' THEN substr(a, 5) ELSE 'the ' || a END, * EXCLUDE (a) FROM item),
+    missed AS (SELECT DISTINCT a, t FROM k WHERE NOT EXISTS
+        (SELECT 1 FROM x WHERE x.a = k.a AND x.t = k.t)),
+    probe AS (SELECT a, t, {_sorted_sql('t')} AS u, CASE WHEN a IN (SELECT block FROM named) THEN a
+        WHEN a LIKE 'the %' THEN substr(a, 5) ELSE 'the ' || a END AS block FROM missed),
+    scored AS (SELECT a, t, mbid, y, {_ratio_sql('u', 's')} AS score
+        FROM probe JOIN named USING (block)),
+    near AS (SELECT a, t, mbid AS id, score FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY a, t
+        ORDER BY score DESC, y DESC NULLS LAST, mbid) AS r FROM scored WHERE score >= 85) WHERE r = 1)"""
+
+LINKED_SQL = f"""{_FUZZY}, hit AS (SELECT seq, mbid FROM k JOIN x USING (a, t) UNION ALL
+        SELECT seq, id FROM k JOIN near USING (a, t)),
+    w AS (SELECT mbid, MIN(seq) AS seq FROM hit GROUP BY mbid)
+    SELECT mbid, w.seq, lyrics AS text FROM w JOIN k ON w.seq = k.seq"""
+
+
+@query("link_fuzzy", f"{_FUZZY} SELECT a, t, id, score FROM near", _V)
 def link_fuzzy(spark, sf):
     targets = linking.target_keys(tracks(spark, sf))
     keys = linking.corpus_keys(link_corpus(spark, sf))
@@ -48,7 +87,7 @@ def link_arbitrate(spark, sf):
     return linking.link_texts(link_corpus(spark, sf), tracks(spark, sf), cut=None)
 
 
-@query("link_texts")
+@query("link_texts", LINKED_SQL, _V)
 def link_texts(spark, sf):
     return linking.link_texts(link_corpus(spark, sf), tracks(spark, sf))
 
@@ -67,7 +106,17 @@ def link_coverage(spark, sf):
     return linking.link_coverage(links, items).withColumn("pct", F.round("pct", 4))
 
 
-@query("token_sort_ratio")
+_LONGER = _sorted_sql("t || ' live'")
+
+
+@query(
+    "token_sort_ratio",
+    f"""SELECT p_partkey, t, ROUND({_ratio_sql('u', 'v')}, 6) AS swapped_score,
+        ROUND({_ratio_sql('u', 'w')}, 6) AS longer_score
+    FROM (SELECT p_partkey, t, {_sorted_sql('t')} AS u,
+            {_sorted_sql("array_to_string(list_reverse(string_split(t, ' ')), ' ')")} AS v, {_LONGER} AS w
+        FROM (SELECT p_partkey, {_key('p_name')} AS t FROM part))""",
+)
 def token_sort_ratio(spark, sf):
     parts = table(spark, sf, "part").select("p_partkey", match_key(F.col("p_name")).alias("t"))
     swapped = F.concat_ws(" ", F.reverse(F.split("t", " ")))

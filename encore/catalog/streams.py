@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from encore.catalog.base import SCHEMAS, link_corpus, query, table, tracks
+from encore.catalog.linking import LINKED_SQL
 from encore.session import scratch_path
 from encore.streaming.ingest import ingest_new, link_incrementally
 
@@ -50,7 +51,7 @@ def incremental_ingest(spark, sf):
     return out.select("user_id", "event_id", "event_type", "value")
 
 
-@query("incremental_link")
+@query("incremental_link", LINKED_SQL, ("tracks", "link_corpus"))
 def incremental_link(spark, sf):
     work = scratch_path(spark, "link")
     # The corpus lands as several files, in order, as a crawler would leave it.
