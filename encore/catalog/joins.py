@@ -13,31 +13,39 @@ from encore.plans.texts import features_with_target, three_way
 from encore.streaming.ingest import covered_ids, pending_ids
 
 T = ("tracks",)
-_POP_SQL = """SELECT l_partkey AS mbid, CAST(SUM(l_quantity) AS BIGINT) AS total_listen_count,
-    COUNT(*) AS total_user_count FROM lineitem WHERE l_returnflag <> 'N' GROUP BY l_partkey"""
-_AUDIO_SQL = """SELECT l_partkey AS mbid, ROUND(AVG(l_discount), 6) AS tempo,
-    MAX(l_tax) AS loudness FROM lineitem WHERE l_returnflag = 'R' AND l_quantity >= 48
-    GROUP BY l_partkey"""
+# Counts and signals of an item come from some of its lines only, and are null where it has none.
+_COUNTED = "l_returnflag <> 'N'"
+_HEARD = "l_returnflag = 'R' AND l_quantity >= 48"
+_POP_SQL = f"""SELECT l_partkey AS mbid,
+        CAST(SUM(CASE WHEN {_COUNTED} THEN l_quantity END) AS BIGINT) AS total_listen_count,
+        SUM(CASE WHEN {_COUNTED} THEN 1 END) AS total_user_count
+    FROM lineitem GROUP BY l_partkey"""
+_AUDIO_SQL = f"""SELECT l_partkey AS mbid, ROUND(AVG(CASE WHEN {_HEARD} THEN l_discount END), 6) AS tempo,
+        MAX(CASE WHEN {_HEARD} THEN l_tax END) AS loudness
+    FROM lineitem GROUP BY l_partkey"""
 
 
 def _popularity(spark, sf):
+    counted = F.expr(_COUNTED)
     return (
         table(spark, sf, "lineitem")
-        .where(F.col("l_returnflag") != "N")
         .groupBy(F.col("l_partkey").alias("mbid"))
         .agg(
-            F.sum("l_quantity").cast("bigint").alias("total_listen_count"),
-            F.count("*").alias("total_user_count"),
+            F.sum(F.when(counted, F.col("l_quantity"))).cast("bigint").alias("total_listen_count"),
+            F.sum(F.when(counted, F.lit(1))).alias("total_user_count"),
         )
     )
 
 
 def _audio(spark, sf):
+    heard = F.expr(_HEARD)
     return (
         table(spark, sf, "lineitem")
-        .where((F.col("l_returnflag") == "R") & (F.col("l_quantity") >= 48))
         .groupBy(F.col("l_partkey").alias("mbid"))
-        .agg(F.round(F.avg("l_discount"), 6).alias("tempo"), F.max("l_tax").alias("loudness"))
+        .agg(
+            F.round(F.avg(F.when(heard, F.col("l_discount"))), 6).alias("tempo"),
+            F.max(F.when(heard, F.col("l_tax"))).alias("loudness"),
+        )
     )
 
 
@@ -47,7 +55,8 @@ def _parts(spark, sf):
 
 @query(
     "left_join_popularity",
-    f"""SELECT p_partkey AS mbid, p_name, total_listen_count - total_user_count AS repeat_listens
+    f"""SELECT p_partkey AS mbid, p_name,
+        CAST(total_listen_count - total_user_count AS BIGINT) AS repeat_listens
     FROM part LEFT JOIN ({_POP_SQL}) ON p_partkey = mbid
     WHERE total_listen_count - total_user_count >= 0""",
 )

@@ -9,7 +9,8 @@ from encore.config import FeatureConfig
 from encore.plans.processed import build_processed
 
 # Raw records: one per order line, so an item shows up under several tags.
-_RAW = """raw AS (SELECT CAST(l_partkey AS VARCHAR) AS mbid,
+_HEARD = "l_returnflag = 'R' AND l_quantity >= 48"
+_RAW = f"""raw AS (SELECT CAST(l_partkey AS VARCHAR) AS mbid,
         l_orderkey * 10 + l_linenumber AS ingest_seq, l_linestatus || l_returnflag AS genre,
         p_name AS title, p_brand AS artist_name, p_size * 20000 AS duration_ms,
         CAST(year(l_shipdate) AS VARCHAR) AS release_year,
@@ -17,9 +18,9 @@ _RAW = """raw AS (SELECT CAST(l_partkey AS VARCHAR) AS mbid,
     FROM lineitem JOIN part ON l_partkey = p_partkey),
     pop AS (SELECT CAST(l_partkey AS VARCHAR) AS mbid, CAST(SUM(l_quantity) AS BIGINT) AS listens,
         COUNT(*) AS users FROM lineitem GROUP BY l_partkey),
-    aud AS (SELECT CAST(l_partkey AS VARCHAR) AS mbid, ROUND(AVG(l_discount), 6) AS tempo,
-        ROUND(AVG(l_tax), 6) AS danceability FROM lineitem
-        WHERE l_returnflag = 'R' AND l_quantity >= 48 GROUP BY l_partkey)"""
+    aud AS (SELECT CAST(l_partkey AS VARCHAR) AS mbid, ROUND(AVG(CASE WHEN {_HEARD}
+            THEN l_discount END), 6) AS tempo, ROUND(AVG(CASE WHEN {_HEARD} THEN l_tax END), 6)
+            AS danceability FROM lineitem GROUP BY l_partkey)"""
 
 
 @query(
@@ -77,17 +78,14 @@ def processed_table(spark, sf):
         F.sum("l_quantity").cast("bigint").alias("total_listen_count"),
         F.count("*").alias("total_user_count"),
     )
-    audio = (
-        line.where((F.col("l_returnflag") == "R") & (F.col("l_quantity") >= 48))
-        .groupBy(key)
-        .agg(
-            F.round(F.avg("l_discount"), 6).alias("tempo"),
-            F.round(F.avg("l_tax"), 6).alias("danceability"),
-            F.lit(None).cast("double").alias("loudness"),
-            F.lit(None).cast("double").alias("dynamic_complexity"),
-            F.lit(None).cast("string").alias("key"),
-            F.lit(None).cast("string").alias("key_scale"),
-        )
+    heard = F.expr(_HEARD)
+    audio = line.groupBy(key).agg(
+        F.round(F.avg(F.when(heard, F.col("l_discount"))), 6).alias("tempo"),
+        F.round(F.avg(F.when(heard, F.col("l_tax"))), 6).alias("danceability"),
+        F.lit(None).cast("double").alias("loudness"),
+        F.lit(None).cast("double").alias("dynamic_complexity"),
+        F.lit(None).cast("string").alias("key"),
+        F.lit(None).cast("string").alias("key_scale"),
     )
     out = build_processed(raw, popularity, audio, FeatureConfig(as_of_year=2025))
     keep = [

@@ -58,8 +58,8 @@ def dataset_summary(spark, sf):
 @query(
     "collection_summary",
     """WITH raw AS (SELECT user_id AS mbid, event_type AS genre FROM events),
-    pop AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase' AND value > 25),
-    aud AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase' AND value > 33)
+    pop AS (SELECT user_id FROM events GROUP BY user_id HAVING MAX(value) > 25),
+    aud AS (SELECT user_id FROM events GROUP BY user_id HAVING MAX(value) > 33)
     SELECT (SELECT COUNT(*) FROM raw) AS musicbrainz_rows,
         (SELECT COUNT(DISTINCT mbid) FROM raw) AS unique_recordings,
         (SELECT COUNT(*) FROM pop) AS listenbrainz_rows,
@@ -74,9 +74,9 @@ def dataset_summary(spark, sf):
 def collection_summary(spark, sf):
     events = table(spark, sf, "events")
     raw = events.select(F.col("user_id").alias("mbid"), F.col("event_type").alias("genre"))
-    bought = events.where(F.col("event_type") == "purchase")
-    pop = bought.where(F.col("value") > 25).select("user_id").distinct()
-    audio = bought.where(F.col("value") > 33).select("user_id").distinct()
+    most = events.groupBy("user_id").agg(F.max("value").alias("most"))
+    pop = most.where(F.col("most") > 25)
+    audio = most.where(F.col("most") > 33)
     pairs = F.transform(
         "genre_counts", lambda g: F.concat_ws("=", g["genre"], g["n"].cast("string"))
     )

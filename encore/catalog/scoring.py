@@ -102,18 +102,23 @@ def score_items(spark, sf):
     UNION ALL SELECT 'median repeats', CAST(ROW_NUMBER() OVER (ORDER BY m DESC, genre) AS INT),
         genre, CAST(m AS VARCHAR)
         FROM (SELECT genre, MEDIAN(repeat_listens) AS m FROM tracks GROUP BY genre)
+    UNION ALL SELECT 'kruskal-wallis', 0, 'groups', CAST(groups AS VARCHAR) FROM k
+    UNION ALL SELECT 'kruskal-wallis', 1, 'n', CAST(n AS VARCHAR) FROM k
+    UNION ALL SELECT 'kruskal-wallis', 2, 'freedom', CAST(freedom AS VARCHAR) FROM k
     UNION ALL SELECT 'kruskal-wallis', 3, 'h', printf('%.4f', h) FROM k
-    UNION ALL SELECT 'spearman', 1, 'rho', printf('%.4f', rho) FROM s""",
+    UNION ALL SELECT 'kruskal-wallis', 4, 'p_value', printf('%.4f', p_value) FROM k
+    UNION ALL SELECT 'spearman', 0, 'n', CAST(n AS VARCHAR) FROM s
+    UNION ALL SELECT 'spearman', 1, 'rho', printf('%.4f', rho) FROM s
+    UNION ALL SELECT 'spearman', 2, 'p_value', printf('%.4f', p_value) FROM s""",
     T,
 )
 def report_rows(spark, sf):
     rows = report.eda_report(tracks(spark, sf))
-    tests = F.col("section").isin("kruskal-wallis", "spearman")
-    # SQL has no tail probabilities, so of the tests only the statistics are compared.
-    shown = rows.where(~tests | F.col("key").isin("h", "rho"))
-    return shown.withColumn(
+    # The engines print doubles differently.
+    real = F.col("key").isin("h", "rho", "p_value")
+    return rows.withColumn(
         "value",
-        F.when(tests, F.format_string("%.4f", F.col("value").try_cast("double"))).otherwise(
+        F.when(real, F.format_string("%.4f", F.col("value").try_cast("double"))).otherwise(
             F.col("value")
         ),
     )

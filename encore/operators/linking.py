@@ -244,6 +244,20 @@ def link_texts(
     ``cut=None`` links exactly only.
     """
     targets = target_keys(items, key, item_artist, item_title, target)
+    return link_targets(corpus, targets, cut, key, seq, artist, title, text)
+
+
+def link_targets(
+    corpus: DataFrame,
+    targets: DataFrame,
+    cut: int | None = FUZZY_CUT,
+    key: str = "mbid",
+    seq: str = "seq",
+    artist: str = "artist",
+    title: str = "title",
+    text: str = "lyrics",
+) -> DataFrame:
+    """``link_texts`` to items that are normalised already."""
     distinct = corpus_keys(corpus, seq, artist, title, text).groupBy("a", "t").agg(
         F.min("seq").alias("seq")
     )

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -94,32 +96,67 @@ def _pearson(x: Column, y: Column) -> Column:
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
+#: Columns of a block of cross-products.
+_BLOCK = 64
+
+
 def correlations(df: DataFrame, pairs: Sequence[tuple[str, str]], digits: int = 6) -> DataFrame:
-    """``(a, b, n, r)`` for each pair over its own complete rows, in one pass.
+    """``(a, b, n, r)`` for each pair over its own complete rows; NaN counts as missing.
 
-    Pairs become rows inside the task and combine there to one row per pair, so the generated
-    code stays small however many pairs there are.
+    Two scans: the columns' means, then for each task the cross-products of centred columns, as
+    matrix products of blocks with their masks. A task gives one row per pair, however many it read.
     """
-    wanted = df.sparkSession.createDataFrame(list(pairs), "a string, b string")
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(a).alias("a"),
-                F.lit(b).alias("b"),
-                F.col(a).try_cast("double").alias("x"),
-                F.col(b).try_cast("double").alias("y"),
-            )
-            for a, b in pairs
-        ]
-    )
+    names = list(dict.fromkeys(c for pair in pairs for c in pair))
+    place = {c: k for k, c in enumerate(names)}
+    cells = [F.nullif(F.col(c).try_cast("double"), F.lit(float("nan"))) for c in names]
+    rows = df.select(*[x.alias(f"c{k}") for k, x in enumerate(cells)])
+    means = rows.agg(*[F.avg(c) for c in rows.columns]).first()  # one number a column
+    centre = np.array([m if m is not None and np.isfinite(m) else 0.0 for m in means])
+    at = [(place[a], place[b]) for a, b in pairs]
+    blocks = sorted({(i // _BLOCK, j // _BLOCK) for i, j in at})
+    size = _BLOCK
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[tuple[int, int], np.ndarray] = {}
+        for batch in batches:
+            values = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            here = ~np.isnan(values)
+            x = np.where(here, values - centre, 0.0)
+            m = here.astype(float)
+            for p, q in blocks:
+                a, b = slice(p * size, (p + 1) * size), slice(q * size, (q + 1) * size)
+                xa, ma, xb, mb = x[:, a].T, m[:, a].T, x[:, b], m[:, b]
+                found = np.stack([
+                    ma @ mb, xa @ mb, ma @ xb, (xa * xa) @ mb, ma @ (xb * xb), xa @ xb
+                ])
+                total[p, q] = total[p, q] + found if (p, q) in total else found
+        if total:
+            out = np.array([total[i // size, j // size][:, i % size, j % size] for i, j in at]).T
+            columns = [pa.array(np.arange(len(at), dtype=np.int32)), *map(pa.array, out)]
+            yield pa.RecordBatch.from_arrays(columns, ["pair", "n", "x", "y", "xx", "yy", "xy"])
+
     found = (
-        df.select(F.inline(cells))
-        .where(F.col("x").isNotNull() & F.col("y").isNotNull())
-        .groupBy("a", "b")
-        .agg(F.count("*").alias("_n"), _pearson(F.col("x"), F.col("y")).alias("_r"))
+        rows.mapInArrow(
+            products, "pair int, n double, x double, y double, xx double, yy double, xy double"
+        )
+        .groupBy("pair")
+        .agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
+    )
+    n = F.col("n")
+    spread_x = F.col("xx") - F.try_divide(F.col("x") * F.col("x"), n)
+    spread_y = F.col("yy") - F.try_divide(F.col("y") * F.col("y"), n)
+    # What rounding leaves of a constant column is no spread.
+    least = F.lit(1e-12)
+    spread_x = F.when(spread_x > least * F.col("xx"), spread_x)
+    spread_y = F.when(spread_y > least * F.col("yy"), spread_y)
+    both = F.col("xy") - F.try_divide(F.col("x") * F.col("y"), n)
+    r = F.try_divide(both, F.sqrt(spread_x * spread_y))
+    wanted = df.sparkSession.createDataFrame(
+        [(k, a, b) for k, (a, b) in enumerate(pairs)], "pair int, a string, b string"
     )
-    return wanted.join(F.broadcast(found), ["a", "b"], "left").select(
-        "a", "b", F.coalesce("_n", F.lit(0)).alias("n"), F.round("_r", digits).alias("r")
+    # One row a pair.
+    return wanted.join(F.broadcast(found), "pair", "left").select(
+        "a", "b", F.coalesce(n.cast("bigint"), F.lit(0)).alias("n"), F.round(r, digits).alias("r")
     )
 
 

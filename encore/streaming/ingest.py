@@ -7,12 +7,13 @@ batch id, so a batch replayed after a failure replaces itself instead of adding
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.operators.linking import link_texts
+from encore.operators.linking import link_targets, target_keys
 
 
 def pending_ids(wanted: DataFrame, attempted: DataFrame, key: str = "mbid") -> DataFrame:
@@ -26,14 +27,34 @@ def covered_ids(wanted: DataFrame, popularity: DataFrame, key: str = "mbid") ->
     return wanted.select(key).distinct().join(popularity.select(key), key, "left_semi")
 
 
-def _run(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str) -> None:
-    (
-        stream.writeStream.foreachBatch(each)
+def _run(
+    stream: DataFrame,
+    each: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    enough: Callable[[], bool] | None = None,
+) -> None:
+    """Run to the end of what has landed, or until ``enough``, asked after each batch."""
+    ended = threading.Event()
+
+    def batch(rows: DataFrame, n: int) -> None:
+        if not ended.is_set():
+            each(rows, n)
+            if enough and enough():
+                ended.set()
+
+    query = (
+        stream.writeStream.foreachBatch(batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
-        .awaitTermination()
     )
+    if enough is None:
+        query.awaitTermination()
+    while query.isActive and not query.awaitTermination(1):
+        if ended.is_set():
+            query.stop()
+    if failure := query.exception():
+        raise failure
 
 
 def _done(spark: SparkSession, out: str, schema: str, before: int) -> DataFrame:
@@ -45,6 +66,10 @@ def _done(spark: SparkSession, out: str, schema: str, before: int) -> DataFrame:
     return spark.read.schema(f"{schema}, batch bigint").parquet(out).where(F.col("batch") < before)
 
 
+def _written(spark: SparkSession, out: str, schema: str) -> DataFrame:
+    return _done(spark, out, schema, 1 << 62).drop("batch")
+
+
 def _write_batch(rows: DataFrame, batch: int, out: str) -> None:
     rows.write.mode("overwrite").parquet(f"{out}/batch={batch}")
 
@@ -83,6 +108,33 @@ def ingest_new(
     return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(out)
 
 
+def _latest(spark: SparkSession, index: str, before: int) -> int | None:
+    """The last version of the index that an earlier batch left."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(index)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return None
+    done = [
+        int(f.getPath().getName().removeprefix("batch="))
+        for f in files.listStatus(path)
+        if files.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f.getPath(), "_SUCCESS"))
+    ]
+    return max((n for n in done if n < before), default=None)
+
+
+def shrink(index: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """Mark the items found and keep those whose artist still has an item without a text.
+
+    Names that differ in leading "the"s are one artist: a text can reach no item of another one, and
+    which item it reaches doesn't depend on others. So leaving whole artists out changes no link.
+    """
+    hit = found.select(F.col(key).alias("id"), F.lit(True).alias("_hit")).distinct()
+    marked = index.join(hit, "id", "left").select(
+        "id", "a", "t", "target", "root", (F.col("done") | F.col("_hit").isNotNull()).alias("done")
+    )
+    return marked.join(marked.where("NOT done").select("root").distinct(), "root", "left_semi")
+
+
 def link_incrementally(
     spark: SparkSession,
     landing: str,
@@ -94,20 +146,47 @@ def link_incrementally(
     files_per_batch: int | None = None,
     key: str = "mbid",
     key_type: str = "bigint",
+    index: str | None = None,
+    artist: str = "artist_name",
+    title: str = "title",
     **options,
 ) -> DataFrame:
-    """Link corpus files as they land; an item keeps the first text that reached it."""
+    """Link corpus files as they land; an item keeps the first text that reached it.
+
+    Normalised items lie in ``index`` (beside the checkpoint unless given), written at the first
+    start; each batch leaves a version without the artists whose items all have texts. Once it is
+    empty no file is read any more, and the query ends. ``options`` go to ``link_targets``.
+    """
     links = f"{key} {key_type}, seq bigint, text string"
+    index = index or f"{checkpoint.rstrip('/')}-index"
     reader = spark.readStream.schema(schema).format(fmt)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if _latest(spark, index, 0) is None:
+        keys = target_keys(items, key, artist, title).withColumns(
+            {"root": F.regexp_replace("a", "^(the )+", ""), "done": F.lit(False)}
+        )
+        keys.write.mode("overwrite").parquet(f"{index}/batch=-1")
+    types = spark.read.parquet(f"{index}/batch={_latest(spark, index, 1 << 62)}").schema
 
-    def each(rows: DataFrame, batch: int) -> None:
-        # Every item stays a candidate, so a text never moves to a second-best item just because
-        # its best one already has a text.
-        taken = _done(rows.sparkSession, out, links, batch).select(key)
-        found = link_texts(rows, items, key=key, **options).join(taken, key, "left_anti")
-        _write_batch(found, batch, out)
+    def version(session: SparkSession, before: int) -> DataFrame:
+        at = _latest(session, index, before)
+        return session.read.schema(types).parquet(f"{index}/batch={at}")
 
-    _run(reader.load(landing), each, checkpoint)
-    return spark.read.schema(links).option("recursiveFileLookup", True).parquet(out)
+    def each(rows: DataFrame, batch: int) -> None:
+        # Every item of an open artist stays a candidate, so a text never moves to a second-best
+        # item just because its best one already has a text.
+        session = rows.sparkSession
+        now = version(session, batch)
+        if now.isEmpty():
+            return
+        found = link_targets(rows, now.drop("root", "done"), key=key, **options)
+        taken = now.where("done").select(F.col("id").alias(key))
+        _write_batch(found.join(taken, key, "left_anti"), batch, out)
+        written = session.read.schema(links).parquet(f"{out}/batch={batch}")
+        shrink(now, written, key).write.mode("overwrite").parquet(f"{index}/batch={batch}")
+
+    everything = 1 << 62
+    if not version(spark, everything).isEmpty():
+        _run(reader.load(landing), each, checkpoint, lambda: version(spark, everything).isEmpty())
+    return _written(spark, out, links)

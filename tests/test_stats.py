@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -108,3 +109,21 @@ def test_share_at_or_below_answers_unseen_points(spark):
 def test_guard(spark):
     df = spark.createDataFrame([(1,), (None,), (2,)], "v int")
     assert stats.guarded(df, ["v"], 2).count() == 2 and stats.guarded(df, ["v"], 3).count() == 0
+
+
+def test_correlations_in_blocks(spark, monkeypatch):
+    """Blocks of two columns, several partitions, missing values of both kinds, far-off means."""
+    monkeypatch.setattr(stats, "_BLOCK", 2)
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(300, 5)) + [0, 1e6, -5, 3, 0]
+    x[:, 3] += x[:, 0]
+    x[rng.random(x.shape) < 0.2] = np.nan
+    x[:, 4] = 7.0
+    frame = pd.DataFrame(x, columns=list("abcde"))
+    cells = [[None if np.isnan(v) and i % 2 else float(v) for v in r] for i, r in enumerate(x)]
+    df = spark.createDataFrame(cells, "a double, b double, c double, d double, e double").repartition(7)
+    want = frame.corr()
+    for r in stats.correlation_matrix(df, list("abcde")).collect():
+        assert r.n == (frame[r.a].notna() & frame[r.b].notna()).sum()
+        assert r.r is None if "e" in (r.a, r.b) else r.r == pytest.approx(want.loc[r.a, r.b], abs=1e-6)
+    assert [r.n for r in stats.correlation_matrix(df.limit(0), ["a", "b"]).collect()] == [0]
