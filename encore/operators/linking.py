@@ -169,6 +169,22 @@ def link_exact(keys: DataFrame, targets: DataFrame) -> DataFrame:
     return keys.join(exact_index(targets), ["a", "t"]).select("seq", "id")
 
 
+def fuzzy_index(targets: DataFrame) -> DataFrame:
+    """``(block, s, best)``: titles under both forms of their artist's name."""
+    by_artist = targets.select(
+        F.explode_outer(F.array_distinct(F.array("a", flip_the(F.col("a"))))).alias("block"),
+        sorted_words(F.col("t")).alias("s"),
+        "id",
+        "target",
+    )
+    # Equal titles under one block differ only in the tie rule: keep the preferred one.
+    return by_artist.groupBy("block", "s").agg(
+        F.min_by(
+            F.struct("id", "target"), F.struct(-_ranked(F.col("target")), F.col("id"))
+        ).alias("best")
+    )
+
+
 def candidates(probes: DataFrame, indexed: DataFrame, cut: int = FUZZY_CUT) -> DataFrame:
     """Pairs of ``probes`` (block, u, ...) and ``indexed`` (block, s, ...) that share a segment;
     a pair comes once for each shared one."""
@@ -182,18 +198,7 @@ def link_fuzzy(pairs: DataFrame, targets: DataFrame, cut: int = FUZZY_CUT) -> Da
 
     Ties go to the higher target, then the smaller id.
     """
-    by_artist = targets.select(
-        F.explode_outer(F.array_distinct(F.array("a", flip_the(F.col("a"))))).alias("block"),
-        sorted_words(F.col("t")).alias("s"),
-        "id",
-        "target",
-    )
-    # Equal titles under one block differ only in the tie rule: keep the preferred one.
-    indexed = by_artist.groupBy("block", "s").agg(
-        F.min_by(
-            F.struct("id", "target"), F.struct(-_ranked(F.col("target")), F.col("id"))
-        ).alias("best")
-    )
+    indexed = fuzzy_index(targets)
     blocks = stage_table(indexed.select(F.col("block").alias("_b")).distinct(), "blocks")
     named = (
         pairs.select("a", "t")

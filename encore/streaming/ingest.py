@@ -13,7 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.operators.linking import link_targets, target_keys
+from encore.config import FUZZY_CUT
+from encore.operators.linking import exact_index, fuzzy_index, link_targets, target_keys
 
 
 def pending_ids(wanted: DataFrame, attempted: DataFrame, key: str = "mbid") -> DataFrame:
@@ -27,6 +28,54 @@ def covered_ids(wanted: DataFrame, popularity: DataFrame, key: str = "mbid") ->
     return wanted.select(key).distinct().join(popularity.select(key), key, "left_semi")
 
 
+FOUND, ABSENT, FAILED = "found", "absent", "failed"
+
+
+def attempts(log: DataFrame, key: str = "mbid") -> DataFrame:
+    """``(key, tries, outcome)``: how often each id was tried and what came of it last."""
+    return log.groupBy(key).agg(
+        F.count("*").alias("tries"), F.max_by("outcome", "run").alias("outcome")
+    )
+
+
+def attempt_pending(
+    spark: SparkSession,
+    wanted: DataFrame,
+    fetch: Callable[[DataFrame], DataFrame],
+    log: str,
+    schema: str,
+    key: str = "mbid",
+    most: int | None = None,
+) -> DataFrame:
+    """Try all ids that are not settled yet, once, and return the whole log.
+
+    ``fetch`` turns ``(key, tries so far)`` into one row an id of ``schema``, which has the key, an
+    ``outcome`` and whatever was fetched. Found and absent ids are settled; failed ones come back
+    with the next run, up to ``most`` tries where that is given. A run is one folder of the log, which
+    holds outcomes and what was fetched: a run that dies leaves no trace, and its ids come back.
+    """
+    everything = f"{schema}, run bigint"
+
+    def read() -> DataFrame:
+        if _latest(spark, log, 1 << 62, "run=") is None:
+            return spark.createDataFrame([], everything)
+        return spark.read.schema(everything).parquet(log)
+
+    tried = attempts(read(), key)
+    settled = F.col("outcome") != FAILED
+    if most is not None:
+        settled = settled | (F.col("tries") >= most)
+    pending = pending_ids(wanted, tried.where(settled), key).join(
+        tried.select(key, "tries"), key, "left"
+    )
+    rows = fetch(pending.withColumn("tries", F.coalesce("tries", F.lit(0))))
+    last = _latest(spark, log, 1 << 62, "run=")
+    run = 0 if last is None else last + 1
+    names = [f.name for f in spark.createDataFrame([], schema).schema]
+    rows.select(*names).write.mode("overwrite").parquet(f"{log}/run={run}")
+    return read()
+
+
 def _run(
     stream: DataFrame,
     each: Callable[[DataFrame, int], None],
@@ -108,14 +157,16 @@ def ingest_new(
     return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(out)
 
 
-def _latest(spark: SparkSession, index: str, before: int) -> int | None:
-    """The last version of the index that an earlier batch left."""
+def _latest(
+    spark: SparkSession, index: str, before: int, prefix: str = "batch="
+) -> int | None:
+    """The last numbered folder that was written in full."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(index)
     files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not files.exists(path):
         return None
     done = [
-        int(f.getPath().getName().removeprefix("batch="))
+        int(f.getPath().getName().removeprefix(prefix))
         for f in files.listStatus(path)
         if files.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f.getPath(), "_SUCCESS"))
     ]
@@ -163,9 +214,16 @@ def link_incrementally(
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if _latest(spark, index, 0) is None:
-        keys = target_keys(items, key, artist, title).withColumns(
-            {"root": F.regexp_replace("a", "^(the )+", ""), "done": F.lit(False)}
-        )
+        keys = target_keys(items, key, artist, title)
+        reached = exact_index(keys).select("id")
+        if options.get("cut", FUZZY_CUT) is not None:
+            reached = reached.union(fuzzy_index(keys).select("best.id"))
+        # Items that yield every title to another one aren't waited for.
+        reached = reached.distinct().withColumn("_reached", F.lit(True))
+        keys = keys.join(reached, "id", "left").select(
+            "id", "a", "t", "target", F.regexp_replace("a", "^(the )+", "").alias("root"),
+            F.col("_reached").isNull().alias("done"),
+        )
         keys.write.mode("overwrite").parquet(f"{index}/batch=-1")
     types = spark.read.parquet(f"{index}/batch={_latest(spark, index, 1 << 62)}").schema
 
