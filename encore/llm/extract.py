@@ -4,7 +4,8 @@ Markup is stripped to lines, one per block element, in page order. Containers th
 the page (menus, forms, scripts, adverts, comments) leave a gap of empty lines; lines that are
 mostly links count as empty too. Over the lines, text lengths are summed in sliding windows. A
 surge is where the sum rises to the threshold, a dive where a whole window is empty; the lines
-between are kept. Where a page marks its article, all lines inside it are kept, and no others.
+between are kept. A page's mark of its article is evidence, not another way: lines outside count
+as empty, so the first surge and the last dive lie within it, and inside any text is a surge.
 
 Defined cases. A null, empty or text-free page has an empty text. A page none of whose windows
 reaches the threshold is judged against its own largest sum, so short articles are kept. Unclosed
@@ -222,7 +223,7 @@ def main_text(page: str | None) -> str:
         0 if not t or inside and not a or not inside and k > LINK_SHARE * len(t) else len(t)
         for t, k, a in lines
     ]
-    kept = sizes if inside else keep_lines(sizes)
+    kept = keep_lines(sizes, threshold=1 if inside else THRESHOLD)
     return " ".join(t for (t, _, _), size, ok in zip(lines, sizes, kept) if ok and size)
 
 
