@@ -2,8 +2,8 @@
 
 ``statistics`` counts what the rules are about. ``fit_forest`` grows isolation trees on a bounded
 sample of those rows: a row that random splits part from the others after few steps is an anomaly.
-``calibrate`` sets the threshold on labelled rows, so that nearly all rows labelled good pass.
-``judge`` adds the verdict to every row.
+``score`` adds that to every row. ``threshold`` is set on all labelled rows, counted by score, so
+that nearly all rows labelled good pass; ``judge`` adds the verdict.
 
 Defined cases. A null text has no words, and so fails the base rule, like an empty one. Repeated
 rows each get a row. Without labelled rows, or on an empty table, only the base rule decides.
@@ -27,8 +27,11 @@ MAX_REPEAT_PERCENT = 30
 WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
 
-#: Sizes of the forest and of the samples it is fitted on: the bounds of what the driver holds.
-TREES, TREE_ROWS, SAMPLE_ROWS, LABELLED_ROWS = 100, 256, 8_192, 4_096
+#: Sizes of the forest and of the sample it is fitted on: the bounds of what the driver holds.
+TREES, TREE_ROWS, SAMPLE_ROWS = 100, 256, 8_192
+#: Steps between 0 and 1 at which scores are compared with the threshold: labelled rows of any
+#: number come down to so many counts.
+STEPS = 10_000
 #: Share of rows labelled good that the threshold lets pass at least.
 PASS_SHARE = 0.98
 #: What short texts' mean word length is drawn to, and with the weight of how many words.
@@ -173,19 +176,26 @@ def base_failed(cols: dict[str, np.ndarray]) -> np.ndarray:
     )
 
 
+def best_cut(good: np.ndarray, bad: np.ndarray, share: float = PASS_SHARE) -> int:
+    """From counts of good (label 1) and bad rows by step of the score: the step that parts both
+    best, both kinds weighing alike, among those with good rows that let the given share of good rows
+    pass. The last step without good rows."""
+    total, against = int(good.sum()), int(bad.sum())
+    if not total:
+        return STEPS
+    passed = np.cumsum(good)
+    cuts = np.flatnonzero((good > 0) & (passed >= math.ceil(share * total)))
+    gain = passed[cuts] / total - (np.cumsum(bad)[cuts] / against if against else 0)
+    return int(cuts[int(np.argmax(gain))])
+
+
 def calibrate(
     forest: dict, rows: np.ndarray, labels: np.ndarray, share: float = PASS_SHARE
 ) -> float:
-    """The score that parts good rows (label 1) from bad ones best, both kinds weighing alike,
-    among those that let the given share of good rows pass. 1 without good rows."""
-    scores = anomaly(forest, rows)
-    good, bad = np.sort(scores[labels == 1]), np.sort(scores[labels == 0])
-    if not len(good):
-        return 1.0
-    cuts = good[math.ceil(share * len(good)) - 1 :]
-    passed = np.searchsorted(good, cuts, "right") / len(good)
-    dropped = 1.0 - np.searchsorted(bad, cuts, "right") / max(1, len(bad))
-    return float(cuts[int(np.argmax(passed + (dropped if len(bad) else 0)))])
+    """The best threshold for rows in memory."""
+    steps = np.ceil(anomaly(forest, rows) * STEPS).astype(int)
+    good, bad = (np.bincount(steps[labels == k], minlength=STEPS + 1) for k in (1, 0))
+    return best_cut(good, bad, share) / STEPS
 
 
 def _columns(df: DataFrame, rows: int) -> dict[str, np.ndarray]:
@@ -194,37 +204,56 @@ def _columns(df: DataFrame, rows: int) -> dict[str, np.ndarray]:
     return {c: got[c].to_numpy() for c in got}
 
 
-def fit(stats: DataFrame, labels: DataFrame) -> tuple[dict, float]:
-    """A forest on a sample of all rows, and its threshold on a sample of labelled rows, both of
-    rows that the base rule passes."""
+def fit(stats: DataFrame) -> dict:
+    """A forest on a sample of the rows that the base rule passes."""
     passed = stats.where(
         (F.col("n_words") >= MIN_WORDS)
         & (100 * F.col("n_repeat_words") <= MAX_REPEAT_PERCENT * F.col("n_words"))
     )
-    forest = fit_forest(features(_columns(passed, SAMPLE_ROWS)))
-    known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), "quality").distinct()
-    rows = _columns(passed.join(known.where("quality IN (0, 1)"), "doc_id"), LABELLED_ROWS)
-    return forest, calibrate(forest, features(rows), rows["quality"])
+    return fit_forest(features(_columns(passed, SAMPLE_ROWS)))
 
 
-def judge(stats: DataFrame, forest: dict, threshold: float) -> DataFrame:
-    """``stats`` with base_failed, the anomaly score and kept."""
-    shared = stats.sparkSession.sparkContext.broadcast((forest, threshold))
+def score(stats: DataFrame, forest: dict) -> DataFrame:
+    """``stats`` with base_failed and the anomaly score."""
+    shared = stats.sparkSession.sparkContext.broadcast(forest)
 
     def run(batch):
-        forest, threshold = shared.value
         cols = {n: batch.column(n).to_numpy() for n in batch.schema.names[1:]}
-        failed, score = base_failed(cols), anomaly(forest, features(cols))
-        kept = ~failed & (score <= threshold)
         return {n: batch.column(n) for n in batch.schema.names} | {
-            "base_failed": failed, "anomaly": score, "kept": kept}
+            "base_failed": base_failed(cols), "anomaly": anomaly(shared.value, features(cols))}
+
+    return map_batches(stats, run, STATS + ", base_failed boolean, anomaly double")
+
+
+def _step():
+    return F.ceil(F.col("anomaly") * STEPS).cast("int")
+
+
+def threshold(scored: DataFrame, labels: DataFrame, share: float = PASS_SHARE) -> int:
+    """The best cut over all labelled rows that the base rule passes: they are counted by step and
+    label in Spark, and at most 2 * (STEPS + 1) counts come to the driver."""
+    known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), "quality").where("quality IN (0, 1)")
+    counts = (
+        scored.where(~F.col("base_failed"))
+        .join(known.distinct(), "doc_id")
+        .groupBy(_step().alias("step"), "quality")
+        .agg(F.count("*").alias("n"))
+    )
+    by_label = np.zeros((2, STEPS + 1), np.int64)
+    for r in counts.collect():
+        by_label[int(r["quality"]), r["step"]] = r["n"]
+    return best_cut(by_label[1], by_label[0], share)
+
 
-    return map_batches(stats, run, STATS + ", base_failed boolean, anomaly double, kept boolean")
+def judge(scored: DataFrame, cut: int) -> DataFrame:
+    """``scored`` with kept."""
+    return scored.withColumn("kept", ~F.col("base_failed") & (_step() <= cut))
 
 
 def apply_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
     stats = stage_table(statistics(docs), "rule-stats")
-    return judge(stats, *fit(stats, labels))
+    scored = stage_table(score(stats, fit(stats)), "rule-scores")
+    return judge(scored, threshold(scored, labels))
 
 
 @query("op10_quality_rules")

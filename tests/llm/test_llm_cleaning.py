@@ -1,8 +1,10 @@
 import html
+import math
 import re
 
 import llm_data as data
 import numpy as np
+import pyarrow.parquet as pq
 
 from encore.llm import base, catalog, extract, language, quality, rules, search  # noqa: F401
 
@@ -50,6 +52,75 @@ def test_isolation_forest_finds_the_odd_row():
     assert (rules.anomaly(rules.fit_forest(rows[:0]), rows[:3]) == 1).all()
 
 
+def _plain_score(forest, row):
+    """Mean path by walking each tree for one row."""
+    total = 0.0
+    for t in forest["trees"]:
+        at = 0
+        while t["feature"][at] >= 0:
+            at = t["left" if row[t["feature"][at]] <= t["cut"][at] else "right"][at]
+        total += t["path"][at]
+    return 2.0 ** (-total / len(forest["trees"]) / forest["scale"])
+
+
+def _plain_path(rows, depth, deepest, row, t, at):
+    """What a row's path must be where the tree was grown on ``rows``: splits part them, and a leaf
+    adds the mean path among those left."""
+    f = t["feature"][at]
+    if f < 0:
+        n = len(rows)
+        assert depth == deepest or n < 2 or all(len({r[k] for r in rows}) == 1 for k in range(len(row)))
+        rest = 0.0 if n < 2 else 2 * (math.log(n - 1) + 0.5772156649) - 2 * (n - 1) / n
+        return depth + rest
+    cut = t["cut"][at]
+    assert min(r[f] for r in rows) <= cut <= max(r[f] for r in rows)
+    low = row[f] <= cut
+    part = [r for r in rows if (r[f] <= cut) == low]
+    return _plain_path(part, depth + 1, deepest, row, t, t["left" if low else "right"][at])
+
+
+def test_trees_hold_the_paths_of_their_rows():
+    rng = np.random.default_rng(4)
+    rows = np.round(rng.normal(size=(200, 4)), 1)
+    t = rules.grow_tree(rows, rng)
+    plain = [tuple(r) for r in rows]
+    for row in plain[::7]:
+        at = 0
+        while t["feature"][at] >= 0:
+            at = t["left" if row[t["feature"][at]] <= t["cut"][at] else "right"][at]
+        assert abs(t["path"][at] - _plain_path(plain, 0, 8, row, t, 0)) < 1e-9
+
+
+def test_rules_verdict_equals_plain_python(spark):
+    docs, labels = spark.read.parquet(f"{data.SMALL}/documents.parquet"), spark.read.parquet(f"{data.SMALL}/labels.parquet")
+    stats = rules.statistics(docs)
+    forest = rules.fit(stats)
+    label = dict(data.collected(labels, "doc_id", "quality"))
+    steps, failed = {}, {}
+    for r in stats.collect():
+        failed[r.doc_id] = r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words
+        n = r.n_words
+        row = ((r.word_chars + 500) / (n + 100), r.n_symbols / (n + 1), r.n_dup_lines / (n + 1), r.n_repeat_words / (n + 1))
+        steps[r.doc_id] = math.ceil(_plain_score(forest, row) * 10_000)
+    good, bad = ([steps[i] for i in steps if not failed[i] and label.get(i) == k] for k in (1, 0))
+    best = max(
+        (c for c in set(good) if sum(s <= c for s in good) >= 0.98 * len(good)),
+        key=lambda c: (sum(s <= c for s in good) / len(good) - sum(s <= c for s in bad) / max(1, len(bad)), -c))
+    got = rules.apply_rules(docs, labels).collect()
+    assert len(got) == len(steps) > 50 and good and bad
+    for r in got:
+        assert r.base_failed == failed[r.doc_id] and r.kept == (not failed[r.doc_id] and steps[r.doc_id] <= best)
+
+
+def test_all_labelled_rows_set_the_threshold(spark):
+    scored = spark.range(20_000).selectExpr("id AS doc_id", "false AS base_failed", "id / 20000D AS anomaly")
+    labels = scored.selectExpr("doc_id", "IF(doc_id < 15000, 1, 0) AS quality", "5 AS anomaly")
+    cut = rules.threshold(scored, labels)
+    # The last good row shares its step with a bad one, which weighs three times as much.
+    assert cut == 7_499 and rules.judge(scored, cut).where("kept").count() == 14_999
+    assert rules.threshold(scored, labels.where("quality = 0")) == rules.STEPS
+
+
 def test_rules_query_keeps_good_rows(spark):
     sf = data.SMALL.replace("0.001", "0.01")
     labels = dict(data.collected(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id", "quality"))
@@ -135,6 +206,22 @@ def test_extraction_query(spark):
         assert r.n_chars == len(r.text)
 
 
+def test_extraction_without_marks():
+    """The line-block distribution alone finds the same texts."""
+    for r in pq.read_table(f"{data.SMALL}/pages.parquet")["html"].to_pylist():
+        bare = re.sub(r"</?(?:article|main)\b[^>]*>", "", r)
+        assert "<article" in r and extract.main_text(bare) == extract.main_text(r)
+
+
+def test_marked_pages_pass_through_the_distribution(monkeypatch):
+    seen = []
+    real = extract.keep_lines
+    monkeypatch.setattr(extract, "keep_lines", lambda s, **k: seen.append((s, k)) or real(s, **k))
+    page = "<p>before the text<article><p>Ok.<nav>menu</nav><p>End</article><p>after it"
+    assert extract.main_text(page) == "Ok. End"
+    assert seen == [([0, 3, 0, 0, 0, 3, 0], {"threshold": 1})]
+
+
 PAGE = """<html><head><title>T</title><style>p{}</style></head><body class="page">
 <header><h1>Site</h1></header><ul class="menu"><li><a href=/a>Home</a><li><a href=/b>News</a></ul>
 <div id="cookie-notice"><div>We use cookies.</div></div>
