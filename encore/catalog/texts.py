@@ -8,7 +8,7 @@ from encore.catalog.base import doc_targets, lexicon, query, table, texts
 from encore.catalog.cells import PUNCT_SQL, WORDS_SQL, words_sql
 from encore.config import PROFILE_STOP_WORDS
 from encore.functions import word_list
-from encore.operators import terms
+from encore.operators import terms, valence
 from encore.session import stage_table
 
 _W = f"WITH w AS (SELECT doc_id AS mbid, text, {WORDS_SQL} AS w FROM documents)"
@@ -153,6 +153,60 @@ def lexicon_sentiment(spark, sf):
     return terms.sentiment(texts(spark, sf), lexicon(spark, sf))
 
 
+def _in(words):
+    return "(" + ", ".join(f"'{w}'" for w in words) + ")"
+
+
+def _step_sql(k, weight, never):
+    """The valence after the word ``k`` before it: predecessors are read with lag."""
+    so = " OR ".join(f"COALESCE(a{j} IN ('so', 'this'), FALSE)" for j in range(1, k)) or "FALSE"
+    return f"""d{k} AS (SELECT *, CASE WHEN a{k} IS NULL OR v{k} IS NOT NULL THEN y{k - 1}
+            WHEN a{k} = 'never' AND ({so}) THEN u{k} * {never}
+            WHEN n{k} THEN u{k} * -0.74 ELSE u{k} END AS y{k}
+        FROM (SELECT *, y{k - 1} + COALESCE(b{k} + CASE WHEN c{k} AND mixed THEN 0.733 ELSE 0 END, 0)
+            * CASE WHEN y{k - 1} < 0 THEN -1 ELSE 1 END * {weight} AS u{k} FROM d{k - 1}))"""
+
+
+_LAGS = ", ".join(f"LAG({c}, {k}) OVER o AS {n}{k}" for k in (1, 2, 3) for c, n in zip(
+    ("a", "v", "caps", "b", "g"), ("a", "v", "c", "b", "n")))
+
+
+@query(
+    "context_sentiment",
+    f"""WITH {_LEXICON}, t AS (SELECT doc_id AS mbid, text, list_filter(regexp_split_to_array(
+            regexp_replace(text, '[^\\pL\\pM\\pN_\\s'']', '', 'g'), '\\s+'), lambda x: x <> '') AS w FROM documents),
+    e AS (SELECT mbid, unnest(w) AS raw, unnest(range(len(w))) AS i FROM t),
+    x AS (SELECT mbid, i, lower(raw) AS a, upper(raw) = raw AND lower(raw) <> raw AS caps,
+            CASE WHEN lower(raw) IN {_in(valence.STRONGER)} THEN 0.293e0
+                WHEN lower(raw) IN {_in(valence.WEAKER)} THEN -0.293e0 END AS b,
+            lower(raw) IN {_in(valence.NEGATIONS)} OR contains(lower(raw), 'n''t') AS g FROM e),
+    l AS (SELECT x.*, CAST(valence AS DOUBLE) AS v FROM x LEFT JOIN lex ON lex.word = x.a),
+    k AS (SELECT mbid, MIN(i) FILTER (a = 'but') AS but, BOOL_OR(caps) AND NOT BOOL_AND(caps) AS mixed
+        FROM x GROUP BY mbid),
+    d0 AS (SELECT *, v + CASE WHEN caps AND mixed THEN 0.733 ELSE 0 END * CASE WHEN v < 0 THEN -1 ELSE 1 END AS y0
+        FROM (SELECT l.*, {_LAGS} FROM l WINDOW o AS (PARTITION BY mbid ORDER BY i)) JOIN k USING (mbid)),
+    {_step_sql(1, 1, 1)}, {_step_sql(2, 0.95, 1.5)}, {_step_sql(3, 0.9, 1.25)},
+    z AS (SELECT mbid, CASE WHEN v IS NULL OR b IS NOT NULL THEN 0 ELSE y3
+            * CASE WHEN a1 = 'least' AND v1 IS NULL AND NOT COALESCE(a2 IN ('at', 'very'), FALSE)
+                THEN -0.74 ELSE 1 END
+            * CASE WHEN i < but THEN 0.5 WHEN i > but THEN 1.5 ELSE 1 END END AS y FROM d3),
+    r AS (SELECT mbid, COALESCE(SUM(y), 0) AS s, COALESCE(SUM(CASE WHEN y > 0 THEN y + 1 ELSE 0 END), 0) AS p,
+            COALESCE(SUM(CASE WHEN y < 0 THEN 1 - y ELSE 0 END), 0) AS m, COUNT(*) FILTER (y = 0) AS z
+        FROM t LEFT JOIN z USING (mbid) GROUP BY mbid),
+    q AS (SELECT doc_id AS mbid, COALESCE(LEAST(length(text) - length(replace(text, '!', '')), 4) * 0.292e0
+            + CASE WHEN n > 3 THEN 0.96 WHEN n > 1 THEN n * 0.18 ELSE 0 END, 0) AS k
+        FROM (SELECT doc_id, text, length(text) - length(replace(text, '?', '')) AS n FROM documents)),
+    f AS (SELECT mbid, s + SIGN(s) * k AS s, p + CASE WHEN p > m THEN k ELSE 0 END AS p,
+            m + CASE WHEN p < m THEN k ELSE 0 END AS m, z FROM r JOIN q USING (mbid))
+    SELECT mbid, ROUND(s / SQRT(s * s + 15), 4) AS sentiment_compound,
+        ROUND(COALESCE(p / NULLIF(p + m + z, 0), 0), 4) AS sentiment_positive,
+        ROUND(COALESCE(m / NULLIF(p + m + z, 0), 0), 4) AS sentiment_negative,
+        ROUND(COALESCE(z / NULLIF(p + m + z, 0), 0), 4) AS sentiment_neutral FROM f""",
+)
+def context_sentiment(spark, sf):
+    return valence.sentiment_in_context(texts(spark, sf), lexicon(spark, sf))
+
+
 _RARE = f"""{_COUNTS}, {_FREQ}, x AS (SELECT mbid, word, n, COALESCE(freq, 0) AS f
     FROM c LEFT JOIN fq USING (word))"""
 
