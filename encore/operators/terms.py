@@ -6,7 +6,7 @@ texts explodes once and aggregates, so Spark combines a text's words before any
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import CountVectorizerModel
@@ -226,9 +226,10 @@ def top_list(counts: DataFrame, n: int, out: str, key: str = "mbid") -> DataFram
 
 def text_features(
     texts: DataFrame, lexicon: DataFrame, freq: DataFrame, key: str = "mbid", text: str = "text",
-    parts: DataFrame | None = None,
+    parts: DataFrame | None = None, score: Callable[..., DataFrame] = sentiment,
 ) -> DataFrame:
-    """The full feature row per text. ``parts`` has the split texts if they are staged already."""
+    """The full feature row per text. ``parts`` has the split texts if they are staged already;
+    ``score`` is how sentiment is found, for instance ``valence.sentiment_in_context``."""
     words = F.col("words")
     if parts is None:
         parts = stage_table(with_parts(texts, key, text).drop(text), "text-parts")
@@ -249,7 +250,7 @@ def text_features(
     rare = rarity(word_counts(tokenised, key), freq, key)
     none = F.array().cast("array<string>")
     return (
-        within.join(sentiment(texts, lexicon, key, text), key, "left")
+        within.join(score(texts, lexicon, key, text), key, "left")
         .join(pairs, key, "left")
         .join(rare, key, "left")
         .withColumns(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame
 from encore.config import TARGET
 from encore.operators.linking import link_texts
 from encore.operators.order import keep_first
-from encore.operators.terms import contrast, fit_topics, text_features, with_parts
+from encore.operators.terms import contrast, fit_topics, sentiment, text_features, with_parts
 from encore.session import stage_table
 
 
@@ -43,14 +44,16 @@ def three_way(
 
 
 def study(
-    corpus: DataFrame, items: DataFrame, lexicon: DataFrame, freq: DataFrame, topics: int = 8
+    corpus: DataFrame, items: DataFrame, lexicon: DataFrame, freq: DataFrame, topics: int = 8,
+    score: Callable[..., DataFrame] = sentiment,
 ) -> TextStudy:
-    """Everything derived from linked texts; the linked texts are staged once."""
+    """Everything derived from linked texts; the linked texts are staged once. ``score`` is how
+    sentiment is found."""
     texts = stage_table(link_texts(corpus, items), "linked-texts").select("mbid", "text")
     # Split once; features, topics and both contrasts read the staged words.
     parts = stage_table(with_parts(texts).drop("text"), "text-parts")
     tokenised = parts.select("mbid", "words")
-    features = stage_table(text_features(texts, lexicon, freq, parts=parts), "text-features")
+    features = stage_table(text_features(texts, lexicon, freq, parts=parts, score=score), "text-features")
     weights, words = fit_topics(texts, topics, tokenised=tokenised)
     return TextStudy(
         texts,

@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from encore.operators import valence
+from encore.operators import terms, valence
 
 LEXICON = {"love": 3.2, "good": 1.9, "sad": -2.1, "bad": -2.5, "kind": 2.4, "so": 0.4, "no": -1.2, "mild": 0.25}
 
@@ -96,3 +96,12 @@ def test_empty_table_and_long_text(spark):
     assert scored(spark, []) == {}
     long = "not good " * 20_000
     assert scored(spark, [long])[0] == pytest.approx(plain(long), abs=6e-5)
+
+
+def test_feature_rows_take_these_scores(spark):
+    data = spark.createDataFrame([(1, "not good, really"), (2, None)], "mbid int, text string")
+    lexicon = spark.createDataFrame(list(LEXICON.items()), "word string, valence double")
+    freq = spark.createDataFrame([("good", 0.1)], "word string, freq double")
+    got = terms.text_features(data, lexicon, freq, score=valence.sentiment_in_context)
+    one, two = (r["sentiment_compound"] for r in got.orderBy("mbid").collect())
+    assert one == pytest.approx(plain("not good, really")[0], abs=6e-5) and one < 0 and two == 0
