@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from encore.llm.base import bounded, query, ship, table, to_arrow
@@ -172,15 +172,12 @@ def top_k(vectors: DataFrame, is_query, k: int = TOP) -> DataFrame:
     queries = _blocks(sound.where(is_query), QUERY_BLOCK, pivots)
     queries = queries.withColumnsRenamed({c: f"q_{c}" for c in queries.columns if c != "dim"})
 
-    def numbers(blocks: DataFrame, name: str) -> Column:
-        most = blocks.agg(F.max(name)).first()[0]
-        return F.explode(F.sequence(F.lit(0), F.lit(most if most is not None else 0)))
-
-    # A cell for each block of queries and of candidates with vectors of one length. Both sides
-    # name the cell, so cells are dealt evenly.
-    left = queries.withColumn("block", numbers(candidates, "block"))
-    right = candidates.withColumn("q_block", numbers(queries, "q_block"))
-    cells = left.join(right, ["dim", "q_block", "block"])
+    # A cell for each block of queries and of candidates with vectors of one length. Queries are
+    # copied to every block of candidates, which are sent once. Merged by hint: the files of the
+    # queries' blocks may be small enough for a broadcast, their copies aren't.
+    most = candidates.agg(F.max("block")).first()[0]
+    left = queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(most if most is not None else 0))))
+    cells = left.join(candidates.hint("merge"), ["dim", "block"])
     schema = to_arrow(spark, "query_id bigint, vec_id bigint, score bigint")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

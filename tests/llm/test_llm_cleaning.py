@@ -303,6 +303,15 @@ def test_search_equals_brute_force(spark, monkeypatch):
     assert sorted(map(tuple, got.collect())) == brute_top(rows)
 
 
+def test_search_broadcasts_no_copies_of_queries(spark):
+    found = search.top_k(
+        spark.createDataFrame([(i, [i / 50, 1.0]) for i in range(40)], "vec_id bigint, embedding array<float>"),
+        "vec_id % 20 = 0",
+    )
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+
+
 def test_search_without_rows(spark):
     assert search.top_k(vectors(spark, []), "vec_id % 20 = 0").count() == 0
     assert search.top_k(vectors(spark, [(20, [1.0], "a", "b")]), "vec_id % 20 = 0").count() == 0
