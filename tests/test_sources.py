@@ -6,8 +6,10 @@ import random
 import pytest
 from conftest import rows
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from encore import sources
+from encore.session import SMALL_PART, small_tasks
 from encore.sources import schemas
 
 
@@ -133,3 +135,17 @@ def test_split_corpus_record_over_many_ranges(spark, tmp_path):
         assert got == [("a", "b", long.replace('""', '"')), ("c", "d", "e\nf")]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_staged_shuffles_are_cut_by_size(spark):
+    keys = ["spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"]
+    before = [spark.conf.get(k, None) for k in keys]
+
+    def parts():
+        return spark.range(1_500_000).select(F.sha2(F.col("id").cast("string"), 256).alias("k")).distinct().rdd.getNumPartitions()
+
+    plain = parts()
+    with small_tasks(spark, 400 * SMALL_PART):
+        assert spark.conf.get(keys[1]) == "400"
+        assert parts() > plain
+    assert [spark.conf.get(k, None) for k in keys] == before
