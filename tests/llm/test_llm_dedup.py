@@ -124,6 +124,15 @@ def test_repeated_bytes(spark, crowd, length, gram):
         assert (mine == hit).all(), i
 
 
+def test_counted_strings_never_multiply(spark):
+    rows = [(1, 1, i, 0, 0, b"x" * 30 + bytes([i]) + b"y" * 30) for i in range(6)]
+    pieces = spark.createDataFrame(rows, "gram bigint, n bigint, doc_id bigint, _sfx_text bigint, first bigint, body binary")
+    found = suffixes._counted_spans(pieces, 16)
+    assert found.count() == 6 * 30  # 15 starts on each side of the one byte that differs
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftSemi" in plan and "Join Inner" not in plan
+
+
 def test_repeats_in_the_pipeline_form(spark):
     docs = data.awkward(spark)
     out = suffixes.remove_repeats(docs)
