@@ -37,12 +37,14 @@ def word_counts(tokenised: DataFrame, key: str = "mbid", pairs: bool = False) ->
     """``(mbid, word, n, first_pos)`` per distinct word (or adjacent pair) of each text.
 
     Word lists are dealt by text once, before they are exploded: the counts here and what is
-    ranked per text afterwards share that exchange.
+    ranked per text afterwards share that exchange. Their number of partitions is given, so that
+    none are joined by their size: a task's counts take many times the bytes of its lists.
     """
     items = adjacent_pairs(F.col("words")) if pairs else F.col("words")
+    parts = int(tokenised.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # The outer form keeps the optimizer from testing the list, and so building it, twice.
     return (
-        tokenised.select(key, "words").repartition(key).select(key, F.posexplode_outer(items).alias("pos", "word"))
+        tokenised.select(key, "words").repartition(parts, key).select(key, F.posexplode_outer(items).alias("pos", "word"))
         .where(F.col("word").isNotNull())
         .groupBy(key, "word")
         .agg(F.count("*").alias("n"), F.min("pos").alias("first_pos"))

@@ -130,3 +130,9 @@ def test_item_profile_keeps_section_words(spark):
     t = spark.createDataFrame([(1, "chorus love love"), (2, "other")], "mbid int, text string")
     got = terms.item_profile(t, 1, tables(spark)[0]).first()
     assert (got["word_count"], got["top_words"], got["top_counts"]) == (3, ["love", "chorus"], [2, 1])
+
+
+def test_counts_of_words_are_not_joined_into_few_tasks(spark):
+    texts = spark.createDataFrame([(i, f"word{i} again and again") for i in range(40)], "mbid bigint, text string")
+    counts = terms.word_counts(terms.tokens(texts), pairs=True)
+    assert counts.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
