@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from encore.config import CORPUS_STOP_WORDS, PROFILE_STOP_WORDS, RARE_WORD_SHARE, TARGET
 from encore.functions import adjacent_pairs, non_blank_lines, strip_whitespace, word_list
 from encore.operators.order import group_quantiles, top_per_group
-from encore.session import stage_table
+from encore.session import file_bytes, small_parts, stage_table
 
 _RAW_SPLIT = r"(?U)[\s\x1c-\x1f]+"
 
@@ -38,10 +38,11 @@ def word_counts(tokenised: DataFrame, key: str = "mbid", pairs: bool = False) ->
 
     Word lists are dealt by text once, before they are exploded: the counts here and what is
     ranked per text afterwards share that exchange. Their number of partitions is given, so that
-    none are joined by their size: a task's counts take many times the bytes of its lists.
+    none are joined by their size: a task's counts take many times the bytes of its lists. It follows
+    the bytes of the files read, so that a task's counts don't grow with the input.
     """
     items = adjacent_pairs(F.col("words")) if pairs else F.col("words")
-    parts = int(tokenised.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = small_parts(tokenised.sparkSession, file_bytes(tokenised))
     # The outer form keeps the optimizer from testing the list, and so building it, twice.
     return (
         tokenised.select(key, "words").repartition(parts, key).select(key, F.posexplode_outer(items).alias("pos", "word"))

@@ -5,6 +5,8 @@ import numpy as np
 from conftest import rows
 from pyspark.sql import functions as F
 
+from encore import session
+from encore.functions import non_blank_lines, word_list
 from encore.operators import terms
 
 TEXTS = [
@@ -54,6 +56,24 @@ def test_top_lists_break_ties_by_first_use(spark):
     assert got[4] == ["night", "light", "bright"]
 
 
+def test_word_counts_are_dealt_by_the_bytes_read(spark, monkeypatch):
+    staged = session.stage_table(terms.tokens(texts(spark)), "dealt words")
+    size = session.file_bytes(staged)
+    assert size > 300 and session.file_bytes(texts(spark)) == 0
+    before = rows(terms.word_counts(staged), "mbid", "word")
+    monkeypatch.setattr(session, "SMALL_PART", 100)
+    counts = terms.word_counts(staged)
+    assert counts.rdd.getNumPartitions() == size // 100 > 4
+    assert rows(counts, "mbid", "word") == before
+
+
+def test_numbers_and_blank_lines_of_any_script_are_left_out(spark):
+    data = spark.createDataFrame([("a1 12 \u00b2\u2075 \u0664\u0665 zz {x 9a \u00e92",), ("\u2003 \x1f\n \u00a0x\n\n",), (None,)], "t string")
+    got = rows(data.select(word_list(F.col("t"), ()), non_blank_lines(F.col("t"))))
+    assert got[0] == (["a1", "zz", "9a", "\u00e92"], [data.first()[0]])
+    assert got[1] == ([], [" \u00a0x"]) and got[2] == (None, None)
+
+
 def brute(data, targets, n, least, grams):
     ys = [y for _, y in targets if y is not None]
     hi, lo = np.percentile(ys, 75), np.percentile(ys, 25)
