@@ -12,6 +12,8 @@ from encore.config import ASCII_PUNCTUATION, CORPUS_STOP_WORDS
 
 # White space including the four ASCII separators.
 _SPACE = r"[\s\x1c-\x1f]"
+# A character that isn't white space.
+_NOT_SPACE = r"(?U)[^\s\x1c-\x1f]"
 # Digits including super- and subscript forms.
 _ALL_DIGITS = r"^[\p{Nd}²³¹⁰⁴-⁹₀-₉]+$"
 # Where a text breaks into lines.
@@ -45,8 +47,12 @@ def word_list(text: Column, stop_words: Sequence[str] = CORPUS_STOP_WORDS) -> Co
     bare = F.translate(F.lower(text), ASCII_PUNCTUATION, "")
     raw = F.split(bare, f"(?U){_SPACE}+")
     stops = sorted({w for w in stop_words if len(w) > 1})
+    # No digit lies between `a` and `z`: most words need no pattern.
     return F.filter(
-        raw, lambda w: (F.length(w) > 1) & ~w.isin(stops) & ~w.rlike(_ALL_DIGITS)
+        raw,
+        lambda w: (F.length(w) > 1)
+        & ~w.isin(stops)
+        & (((w >= "a") & (w < "{")) | ~w.rlike(_ALL_DIGITS)),
     )
 
 
@@ -75,4 +81,4 @@ def sorted_words(text: Column) -> Column:
 
 
 def non_blank_lines(text: Column) -> Column:
-    return F.filter(F.split(text, _LINE_BREAK), lambda line: strip_whitespace(line) != "")
+    return F.filter(F.split(text, _LINE_BREAK), lambda line: line.rlike(_NOT_SPACE))
