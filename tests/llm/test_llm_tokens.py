@@ -5,6 +5,7 @@ from collections import Counter
 import llm_data as data
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from encore.llm import base, catalog, packing, pieces  # noqa: F401
 
@@ -165,3 +166,9 @@ def test_word_ids_equal_the_tokenizers_on_specials():
     got = own.encode([t.encode() for t in texts])
     wrong = [t for t, ids in zip(texts, got) if np.frombuffer(ids, "<u4").tolist() != encoder.encode(t, add_special_tokens=False).ids]
     assert not wrong, (len(wrong), wrong[:5])
+
+
+def test_batches_of_long_texts_stay_small(spark):
+    texts = spark.range(0, 40, 1, 1).select("id", F.repeat(F.lit("x"), 1 << 20).alias("text"))
+    sizes = base.map_batches(texts, lambda b: {"n": [b.nbytes]}, "n bigint").collect()
+    assert sum(r.n for r in sizes) > 40 << 20 and max(r.n for r in sizes) < 10 << 20
