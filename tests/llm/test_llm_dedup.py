@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import duckdb
 import llm_data as data
@@ -133,6 +134,31 @@ def test_counted_strings_never_multiply(spark):
     assert "Join LeftSemi" in plan and "Join Inner" not in plan
 
 
+def test_a_crowded_passage_is_counted_by_blocks(spark, monkeypatch):
+    rng = random.Random(4)
+    passage = data.prose(rng, 60).encode()
+    texts = [bytes(rng.choices(range(97, 123), k=150)) + passage + bytes(rng.choices(range(97, 123), k=150)) for _ in range(12)]
+    texts += [texts[0][:200] + b"#" + texts[1][200:], texts[2][:260] + b"#" + passage[130:] + b"."]
+    docs = spark.createDataFrame([(i, t.decode()) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    single, counted = [], suffixes._counted_spans
+
+    def watched(pieces, length):
+        single.append(counted(pieces, length))
+        return single[-1]
+
+    monkeypatch.setattr(suffixes, "_counted_spans", watched)
+    spans = suffixes.repeated_spans(docs, crowd=1, length=80, gram=24).collect()
+    got = {r.doc_id: suffixes.runs_of(r._sfx_spans) for r in spans}
+    starts = 0
+    for i, hit in enumerate(data.repeated_bytes(texts, 80)):
+        mine = np.zeros(len(hit), bool)
+        for a, b in got.get(i, ()):
+            mine[a:b] = True
+        assert (mine == hit).all(), i
+        starts += int(hit.sum())
+    assert 0 < single[0].count() < starts / 4  # most are settled by blocks
+
+
 def test_repeats_in_the_pipeline_form(spark):
     docs = data.awkward(spark)
     out = suffixes.remove_repeats(docs)
