@@ -7,6 +7,7 @@ transforms over its list of words.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +33,8 @@ WEAKER = (
     "sorta sortof"
 ).split()
 BOOST, CAPITALS, NEGATE, LEAST = 0.293, 0.733, -0.74, -0.74
+#: Words that the rules look for among those before a word.
+NAMED = ("never", "so", "this", "least", "at", "very")
 #: How much a booster one, two and three words before a word counts.
 NEAR = (1.0, 0.95, 0.9)
 #: What `never so` and `never this` make of a word that follows at once, or one word later.
@@ -53,7 +56,8 @@ def _signed(value: Column) -> Column:
 def _weighed(words: Column, mixed: Column) -> Column:
     """The valence of each word as its three predecessors leave it; 0 for words without one.
 
-    ``words`` lists structs of word, valence, caps, boost and negates.
+    ``words`` lists structs of word (if a rule names it), valence, caps, boost, negates and acts: whether
+    the word may change those after it.
     """
 
     def step(i: Column):
@@ -80,7 +84,9 @@ def _weighed(words: Column, mixed: Column) -> Column:
 
     def score(x: Column, i: Column) -> Column:
         start = x["valence"] + F.when(x["caps"] & mixed, CAPITALS).otherwise(0.0) * _signed(x["valence"])
-        value = F.aggregate(near, start, step(i))
+        # Few words have one before them that acts: the others are spared the steps.
+        acts = reduce(Column.__or__, [F.coalesce(F.get(words, i - k)["acts"], F.lit(False)) for k in range(1, len(NEAR) + 1)])
+        value = F.when(acts, F.aggregate(near, start, step(i))).otherwise(start)
         last, second = F.get(words, i - 1), F.get(words, i - 2)
         least = (
             (i >= 1) & (last["word"] == "least") & last["valence"].isNull()
@@ -132,10 +138,11 @@ def sentiment_in_context(
     )
     known = stage_table(lexicon.select("word", F.col("valence").cast("double").alias("valence")), "lexicon")
     word = F.col("word")
+    boost = _boost(word, stronger, weaker)
+    negates = word.isin(*negations) | word.contains("n't")
     item = F.struct(
-        "at", "word", "valence", "caps",
-        _boost(word, stronger, weaker).alias("boost"),
-        (word.isin(*negations) | word.contains("n't")).alias("negates"),
+        "at", F.when(word.isin(*NAMED), word).alias("word"), "valence", "caps", boost.alias("boost"), negates.alias("negates"),
+        (F.col("valence").isNull() & (boost.isNotNull() | negates | (word == "never"))).alias("acts"),
     )
     rows = (
         found.join(known, "word", "left")

@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from encore.operators import terms, valence
 
@@ -105,3 +106,14 @@ def test_feature_rows_take_these_scores(spark):
     got = terms.text_features(data, lexicon, freq, score=valence.sentiment_in_context)
     one, two = (r["sentiment_compound"] for r in got.orderBy("mbid").collect())
     assert one == pytest.approx(plain("not good, really")[0], abs=6e-5) and one < 0 and two == 0
+
+
+def test_steps_run_only_after_words_that_act(spark):
+    """Without such a word before it, a word's valence is taken as it is, whatever stands in the steps."""
+    words = F.array(*[
+        F.struct(F.lit(None).cast("string").alias("word"), F.lit(v).cast("double").alias("valence"), F.lit(False).alias("caps"),
+                 F.lit(b).cast("double").alias("boost"), F.lit(False).alias("negates"), F.lit(a).alias("acts"))
+        for v, b, a in [(None, 0.293, False), (2.0, None, False), (None, 0.293, True), (2.0, None, False)]
+    ])
+    got = spark.range(1).select(valence._weighed(words, F.lit(False)).alias("v")).first()["v"]
+    assert got == [0.0, 2.0, 0.0, pytest.approx(2.0 + 0.293 * (1 + valence.NEAR[2]))]
